@@ -18,7 +18,8 @@ How it runs on Spark, without ever meeting all pairs of a block:
     compared inside its own batch. In a dense group of near copies nearly all
     rows are thus removed against few kept ones, instead of pairing up among
     themselves (the prefix argument of Blelloch, Fineman, Shun, SPAA 2012).
-4.  Within a batch the rule is settled on the edge table in rounds: a row no
+4.  The first batch of a block is small enough to be settled in place. Within a
+    later batch the rule is settled on the edge table in rounds: a row that no
     undecided earlier row is alike to stays, its later neighbours go.
 
 Batches and rounds are written to the shared folder, so a lost executor costs
@@ -27,17 +28,26 @@ one step and every decision is taken once.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listora.functions.similarity import SCALE, allowed_edits, lcs_length, ratio, scaled
+from listora.functions.similarity import (
+    SCALE,
+    allowed_edits,
+    lcs_length,
+    lcs_of_pairs,
+    ratio,
+    scaled,
+)
 from listora.functions.text import sorted_tokens
 from listora.operators.identity import dedup_exact, has_any_id, processing_order
 from listora.schema import ROW_ID
-from listora.session import write_out
+from listora.session import row_count, write_out, write_out_with
 from listora.settings import Settings
 
-FIRST_BATCH = 256  # rows per block in the first batch
+FIRST_BATCH = 64  # rows per block in the first batch, settled in one task
 BATCH_GROWTH = 4
 
 
@@ -226,30 +236,50 @@ def _batch_of(position: Column, first_batch: int, growth: int) -> Column:
 # ------------------------------------------------------------------- decision
 
 
+def _settle_small(threshold: float):
+    """The rule on one block's first batch, at most ``first_batch`` rows."""
+    exact = scaled(threshold)
+
+    def settle_block(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("ord", ignore_index=True)
+        keys = rows["key"].to_numpy(dtype=object)
+        sizes = np.array([len(k) for k in keys], dtype=np.int64)
+        stands = np.ones(len(rows), dtype=bool)
+        for i in range(len(rows)):
+            if not stands[i]:
+                continue
+            totals = sizes + sizes[i]
+            reachable = 200 * SCALE * np.minimum(sizes, sizes[i]) >= exact * totals
+            later = np.flatnonzero(stands & reachable & (np.arange(len(rows)) > i))
+            if len(later):
+                lcs = lcs_of_pairs([keys[i]] * len(later), list(keys[later]))
+                stands[later[200 * SCALE * lcs.astype(np.int64) >= exact * totals[later]]] = False
+        return rows[stands]
+
+    return settle_block
+
+
 def first_wins(edges: DataFrame) -> DataFrame:
     """Rows (block, ord) removed when earlier rows win, given all edges
-    (block, src, dst) between rows not yet decided."""
-    gone = None
-    edges = write_out(edges.distinct(), "edges")
-    while not edges.isEmpty():
+    (block, src, dst) between rows not yet decided. One written table a round."""
+    edges, left = write_out_with(edges.distinct(), "edges", row_count())
+    gone = edges.select("block", F.col("dst").alias("ord")).limit(0)
+    while left:
         beaten = edges.select("block", F.col("dst").alias("src")).distinct()
         stay = edges.select("block", "src").distinct().join(
             beaten, ["block", "src"], "left_anti"
         )
-        lost = write_out(
-            edges.join(stay, ["block", "src"], "left_semi")
-            .select("block", F.col("dst").alias("ord"))
-            .distinct(),
-            "lost",
-        )
-        gone = lost if gone is None else gone.unionByName(lost)
-        edges = write_out(
+        lost = edges.join(stay, ["block", "src"], "left_semi").select("block", "dst").distinct()
+        lost = lost.withColumnRenamed("dst", "ord")
+        gone = gone.unionByName(lost)
+        edges, left = write_out_with(
             edges.join(lost.withColumnRenamed("ord", "src"), ["block", "src"], "left_anti").join(
                 lost.withColumnRenamed("ord", "dst"), ["block", "dst"], "left_anti"
             ),
             "edges",
+            row_count(),
         )
-    return gone if gone is not None else edges.select("block", F.col("dst").alias("ord"))
+    return gone
 
 
 def match_keys(df: DataFrame, block_by: str) -> DataFrame:
@@ -280,20 +310,22 @@ def settle(
         F.col(f"first.{ROW_ID}").alias(ROW_ID),
         _batch_of(F.col("ord"), first_batch, growth).alias("batch"),
     )
-    numbered = write_out(numbered, "keys")
-    last = numbered.agg(F.max("batch")).first()[0]
+    numbered, last = write_out_with(numbered, "keys", F.max("batch"))
     everything = numbered.drop("batch")
-    kept = None
-    for batch in range(0 if last is None else last + 1):
+    first = everything.filter(numbered["batch"] == 0)
+    kept = write_out(
+        first.groupBy("block").applyInPandas(_settle_small(threshold), first.schema), "kept"
+    )
+    for batch in range(1, (last or 0) + 1):
         current = numbered.filter(F.col("batch") == batch).drop("batch")
-        if kept is not None:
-            taken = similar_pairs(kept, current, threshold)
-            taken = taken.select("block", F.col("dst").alias("ord")).distinct()
-            current = write_out(current.join(taken, ["block", "ord"], "left_anti"), "current")
+        taken = similar_pairs(kept, current, threshold)
+        taken = taken.select("block", F.col("dst").alias("ord")).distinct()
+        current = write_out(current.join(taken, ["block", "ord"], "left_anti"), "current")
         removed = first_wins(similar_pairs(current, current, threshold))
-        stay = write_out(current.join(removed, ["block", "ord"], "left_anti"), "kept")
-        kept = stay if kept is None else kept.unionByName(stay)
-    return everything, kept if kept is not None else everything
+        kept = kept.unionByName(
+            write_out(current.join(removed, ["block", "ord"], "left_anti"), "kept")
+        )
+    return everything, kept
 
 
 def dedup_fuzzy(
