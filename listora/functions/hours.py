@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listora.functions.text import trim_ws
+from listora.functions.json_text import strict_json
+from listora.functions.text import not_blank
 
 # Day names searched for in text that is not JSON.
 DAY_NAMES = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
@@ -21,21 +22,15 @@ def _is_open(value: Column) -> Column:
 
 def days_open(c: Column) -> Column:
     """JSON object: its filled-in values; JSON array: its length; other JSON: 0;
-    anything else: how many day names the text mentions.
-
-    The parser ignores what follows a complete value, so ``9-17 mon`` could
-    pass as a number. The text is therefore parsed inside an array and inside
-    an object: only a lone, complete value is valid in both.
-    """
-    in_array = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
-    kind = F.schema_of_variant(F.try_variant_get(in_object, "$.v", "variant"))
-    by_key = F.try_variant_get(in_object, "$.v", "map<string,variant>")
-    entries = F.try_variant_get(in_object, "$.v", "array<variant>")
+    anything else: how many day names the text mentions."""
+    value = strict_json(c)
+    kind = F.schema_of_variant(value)
+    by_key = F.try_variant_get(value, "$", "map<string,variant>")
+    entries = F.try_variant_get(value, "$", "array<variant>")
     mentioned = sum(F.contains(F.lower(c), F.lit(d)).cast("int") for d in DAY_NAMES)
     return (
-        F.when(c.isNull() | (trim_ws(c) == ""), F.lit(0))
-        .when(in_array.isNull() | in_object.isNull(), mentioned)
+        F.when(~not_blank(c), F.lit(0))
+        .when(value.isNull(), mentioned)
         .when(kind.startswith("OBJECT"), F.size(F.filter(F.map_values(by_key), _is_open)))
         .when(kind.startswith("ARRAY"), F.size(entries))
         .otherwise(F.lit(0))
