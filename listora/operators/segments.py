@@ -127,11 +127,10 @@ def segment_stats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def segment_samples(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Up to five rows per segment, chosen by seeded hash of the row id. The rank
+    """Up to five rows per segment, chosen by seeded digest of the row id. The rank
     filter is applied per task first, so a segment sends five rows a task."""
-    chosen = Window.partitionBy("cluster_id").orderBy(
-        F.xxhash64(F.col(ROW_ID), F.lit(settings.seed)), ROW_ID
-    )
+    draw = F.md5(F.concat_ws(":", F.lit(str(settings.seed)), F.col(ROW_ID).cast("string")))
+    chosen = Window.partitionBy("cluster_id").orderBy(draw, ROW_ID)
     return df.withColumn("sample_no", F.row_number().over(chosen)).filter(
         F.col("sample_no") <= settings.samples_per_segment
     )

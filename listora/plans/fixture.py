@@ -63,3 +63,25 @@ def typed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(typed_listings(spark, sf_dir))
+
+
+# Replies are derived from the requests, by a rule both engines can run: some
+# fail, some are no JSON, some lack a part.
+REPLY_SQL = """
+SELECT key, CASE WHEN key < '2' THEN 'errored' ELSE 'succeeded' END AS status,
+ CASE WHEN prompt LIKE 'Category as listed%' THEN
+   CASE WHEN key < '6' THEN ' Detox Center ' WHEN key < 'a' THEN 'Support Group / Community Org (e.g. AA/NA-affiliated)'
+        WHEN key < 'd' THEN 'Sober living' ELSE 'Counseling & Therapy Services' END
+ WHEN prompt LIKE 'Segment: %' THEN
+   CASE WHEN key < '8' THEN '{{"priority_tier": "High", "key_gaps": ["no booking link", "few photos"], "recommended_approach": "Call ' || substr(key, 1, 6) || '", "estimated_deal_rationale": "Large group"}}'
+        WHEN key < 'c' THEN '{{"priority_tier": "Low", "key_gaps": []}}' ELSE 'Sorry, ' || key END
+ ELSE
+   CASE WHEN key < '9' THEN '{{"segment_name": "Group ' || substr(key, 1, 6) || '", "segment_description": "Alike in reviews"}}'
+        WHEN key < 'b' THEN '{{"segment_name": "Only a name"}}' ELSE 'No JSON, ' || key END
+ END AS text
+FROM {requests}
+"""
+
+
+def replies_by_rule(requests: DataFrame) -> DataFrame:
+    return requests.sparkSession.sql(REPLY_SQL, requests=requests.select("key", "prompt"))
