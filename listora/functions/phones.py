@@ -7,8 +7,6 @@ looked up.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,30 +24,26 @@ DIALLING = {
     "US": ("1", "1", "011"), "CA": ("1", "1", "011"), "AU": ("61", "0", "0011"),
     "IN": ("91", "0", "00"), "NZ": ("64", "0", "00"),
 }
-_EXTENSION = r"(?i)[\s,;]*(?:extension|ext\.?|durchwahl|x|#)[\s:.]*[0-9]{1,7}\s*$"
+_ASIDE = r"(?i)[\s,;]*(?:extension|ext\.?|durchwahl|x|#)[\s:.]*[0-9]{1,7}\s*$|\(\s*0\s*\)"
+# keeps the digits, and a plus only in front of the first of them
+_DIALLED = r"\A[^+0-9]*(\+?)|[^0-9]"
+_E164 = "^[1-9][0-9]{6,14}$"
 
 
 def to_e164(c: Column, region: str) -> Column:
+    """``+`` and the full number, or null if it has not the shape of one.
+
+    Each step rewrites the front of the number in place: an international prefix
+    becomes ``!``, a trunk prefix or nothing becomes the calling code, and a
+    trunk prefix written behind the region's own code is dropped.
+    """
     if region not in DIALLING:
         raise ValueError(f"no dialling rules for region {region!r}")
     code, trunk, idd = DIALLING[region]
-    body = F.regexp_replace(c, _EXTENSION, "")
-    body = F.regexp_replace(body, r"\([ ]*0[ ]*\)", "")
-    body = F.regexp_extract(body, r"[+0-9](?s:.)*", 0)
-    digits = F.regexp_replace(body, "[^0-9]", "")
-
-    full = F.concat(F.lit(code), digits)
-    if trunk:
-        full = F.when(
-            digits.startswith(trunk),
-            F.concat(F.lit(code), F.substr(digits, F.lit(len(trunk) + 1))),
-        ).otherwise(full)
-    full = (
-        F.when(body.startswith("+"), digits)
-        .when(digits.startswith(idd), F.substr(digits, F.lit(len(idd) + 1)))
-        .otherwise(full)
-    )
-    if trunk:
-        # a trunk prefix left standing after the region's own calling code
-        full = F.regexp_replace(full, f"^{re.escape(code + trunk)}(?=[0-9])", code)
-    return F.when(full.rlike("^[1-9][0-9]{6,14}$"), F.concat(F.lit("+"), full))
+    number = F.regexp_replace(c, _ASIDE, "")
+    number = F.regexp_replace(number, _DIALLED, "$1")
+    number = F.regexp_replace(number, rf"^(?:\+|{idd})", "!")
+    number = F.regexp_replace(number, rf"^(?:{trunk}(?=[0-9])|(?=[0-9]))", code)
+    tail = rf"(?:({code}){trunk}(?=[0-9]))?" if trunk else "()"
+    number = F.regexp_replace(number, f"^!?{tail}", "$1")
+    return F.when(number.rlike(_E164), F.concat(F.lit("+"), number))

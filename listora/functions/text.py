@@ -21,14 +21,19 @@ def trim_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def _holds(c: Column, pattern: str) -> Column:
+    return F.coalesce(c.cast("string").rlike(pattern), F.lit(False))
+
+
 def not_blank(c: Column) -> Column:
     """True for text holding at least one visible character; false for null."""
-    return F.coalesce(trim_ws(c.cast("string")) != "", F.lit(False))
+    return _holds(c, r"(?U)[^\s\x1c-\x1f]")
 
 
 def present(c: Column) -> Column:
-    """Holds a value: not null, not blank, and not the text ``nan``."""
-    return not_blank(c) & (F.lower(c.cast("string")) != "nan")
+    """Holds a value: not null, not blank, and not the text ``nan``. One look at
+    the text, over at the first visible character."""
+    return _holds(c, r"(?Us)\A(?![nN][aA][nN]\z).*?[^\s\x1c-\x1f]")
 
 
 def title_words(c: Column) -> Column:

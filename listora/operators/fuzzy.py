@@ -66,15 +66,20 @@ def match_key(columns) -> Column:
 # ---------------------------------------------------------------- candidates
 
 
-def _cuts_for(length: Column, threshold: float) -> Column:
-    """Number of segments a text of this length is cut into."""
+def _edits(length: str, threshold: float) -> str:
+    return f"({100 * SCALE - scaled(threshold)} * CAST({length} AS BIGINT) DIV {100 * SCALE})"
+
+
+def _cuts(length: str, threshold: float) -> str:
+    """Number of segments a text of this length is cut into: one more than the
+    edits allowed between it and the longest text that can be alike to it."""
     t = scaled(threshold)
-    longest = F.call_function("div", length.cast("bigint") * (200 * SCALE - t), F.lit(t))
-    return allowed_edits(length + longest, threshold) + 1
+    longest = f"CAST({length} AS BIGINT) * {200 * SCALE - t} DIV {t}"
+    return f"({_edits(f'{length} + ({longest})', threshold)} + 1)"
 
 
-def _cut_at(number: Column, length: Column, cuts: Column) -> Column:
-    return F.call_function("div", number * length, cuts).cast("int")
+_CUT = "CAST({number} * cut_of DIV cuts AS INT)"
+_BEGIN, _END = _CUT.format(number="number"), _CUT.format(number="(number + 1)")
 
 
 def segmentable(threshold: float) -> bool:
@@ -82,83 +87,66 @@ def segmentable(threshold: float) -> bool:
     return 3 * scaled(threshold) > 200 * SCALE
 
 
-def _own_segments(texts: DataFrame, threshold: float) -> DataFrame:
-    """Each text cut into its segments: (text columns, cut_of, number, segment)."""
-    df = texts.withColumn("cut_of", F.length("key")).withColumn(
-        "cuts", _cuts_for(F.col("cut_of"), threshold)
+def _own_segments(texts: DataFrame, threshold: float, role: int) -> DataFrame:
+    """Each text cut into its segments."""
+    return texts.sparkSession.sql(
+        f"""
+        SELECT block, ord, key, xxhash64(block, cut_of, number,
+            substr(key, {_BEGIN} + 1, {_END} - {_BEGIN}), {role}) AS signature
+        FROM (SELECT *, length(key) AS cut_of, {_cuts('length(key)', threshold)} AS cuts FROM {{texts}})
+        LATERAL VIEW explode(sequence(0L, cuts - 1)) AS number""",
+        texts=texts,
     )
-    df = df.withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cuts") - 1)))
-    begin = _cut_at(F.col("number"), F.col("cut_of"), F.col("cuts"))
-    end = _cut_at(F.col("number") + 1, F.col("cut_of"), F.col("cuts"))
-    return df.withColumn("segment", F.substr("key", begin + 1, end - begin)).drop("cuts")
 
 
-def _near_segments(texts: DataFrame, threshold: float, same_length: bool) -> DataFrame:
+def _near_segments(texts: DataFrame, threshold: float, longest: str, role: int) -> DataFrame:
     """Pieces of each text that could be a segment of an equal or shorter one.
 
     With k edits overall, some segment number i is intact with exactly i edits
     before it and at most k - i behind it. The edits before it shift it by d,
     |d| <= i and of the same parity as i; the rest must make up the remaining
-    difference in length.
+    difference in length. Edits and difference in length agree in parity.
     """
     t = scaled(threshold)
     rest = 200 * SCALE - t
-    df = texts.withColumn("size", F.length("key"))
-    shortest = F.call_function("div", F.col("size").cast("bigint") * t + (rest - 1), F.lit(rest))
-    longest = F.col("size") if same_length else F.col("size") - 1
-    df = df.withColumn("shortest", F.greatest(shortest, F.lit(1)).cast("int"))
-    df = df.filter(F.col("shortest") <= longest)
-    df = df.withColumn("cut_of", F.explode(F.sequence(F.col("shortest"), longest))).drop("shortest")
-    difference = F.col("size") - F.col("cut_of")
-    limit = allowed_edits(F.col("size") + F.col("cut_of"), threshold)
-    df = df.withColumn("cuts", _cuts_for(F.col("cut_of"), threshold))
-    df = df.withColumn("gap", difference.cast("bigint"))
-    # edits and length difference agree in parity
-    df = df.withColumn("edits", limit - F.pmod(limit - F.col("gap"), F.lit(2)))
-    df = df.filter(F.col("edits") >= F.col("gap"))
-    df = df.withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("edits"))))
-    df = df.withColumn(
-        "shift",
-        F.explode(F.sequence(-F.col("number"), F.col("number"), F.lit(2).cast("bigint"))),
-    )
-    begin = _cut_at(F.col("number"), F.col("cut_of"), F.col("cuts"))
-    end = _cut_at(F.col("number") + 1, F.col("cut_of"), F.col("cuts"))
-    df = df.withColumn("begin", begin + F.col("shift")).withColumn("width", end - begin)
-    behind = F.abs(F.col("gap") - F.col("shift"))
-    df = df.filter(
-        (behind <= F.col("edits") - F.col("number"))
-        & (F.col("begin") >= 0)
-        & (F.col("begin") + F.col("width") <= F.col("size"))
-    )
-    piece = F.substr("key", (F.col("begin") + 1).cast("int"), F.col("width"))
-    return df.withColumn("segment", piece).drop(
-        "size", "cuts", "gap", "edits", "shift", "begin", "width"
+    limit = _edits("size + cut_of", threshold)
+    return texts.sparkSession.sql(
+        f"""
+        SELECT block, ord, key, xxhash64(block, cut_of, number,
+            substr(key, CAST({_BEGIN} + shift + 1 AS INT), {_END} - {_BEGIN}), {role}) AS signature
+        FROM (
+          SELECT block, ord, key, size, cut_of, gap, cuts, {limit} - pmod({limit} - gap, 2) AS edits
+          FROM (
+            SELECT *, CAST(size - cut_of AS BIGINT) AS gap, {_cuts('cut_of', threshold)} AS cuts
+            FROM (SELECT *, length(key) AS size, CAST(greatest(1,
+                    (CAST(length(key) AS BIGINT) * {t} + {rest - 1}) DIV {rest}) AS INT) AS shortest
+                  FROM {{texts}})
+            LATERAL VIEW explode(CASE WHEN shortest <= {longest} THEN sequence(shortest, {longest}) END)
+              AS cut_of))
+        LATERAL VIEW explode(CASE WHEN edits >= gap THEN sequence(0L, edits) END) AS number
+        LATERAL VIEW explode(sequence(-number, number, 2L)) AS shift
+        WHERE abs(gap - shift) <= edits - number
+          AND {_BEGIN} + shift >= 0 AND {_END} + shift <= size""",
+        texts=texts,
     )
 
 
-def _signed(own: DataFrame, near: DataFrame, own_role: int) -> DataFrame:
-    """Both kinds of segments under one join key. Equal keys of different
-    segments only cost a candidate: every pair is verified afterwards."""
-
-    def keyed(df: DataFrame, role: int) -> DataFrame:
-        key = F.xxhash64("block", "cut_of", "number", "segment", F.lit(role))
-        return df.select("block", "ord", "key", key.alias("signature"))
-
-    return keyed(own, own_role).unionByName(keyed(near, 1 - own_role))
-
-
 def _signatures(earlier: DataFrame, later: DataFrame, threshold: float):
+    """Both sides keyed by what a segment of the one shares with a piece of the
+    other. Equal keys of different segments only cost a candidate: every pair is
+    verified afterwards."""
     if not segmentable(threshold):
         # too many edits allowed for a segment to survive: the block is the key
         def whole(df: DataFrame) -> DataFrame:
             return df.select("block", "ord", "key", F.xxhash64("block").alias("signature"))
 
         return whole(earlier), whole(later)
-    left = _signed(
-        _own_segments(earlier, threshold), _near_segments(earlier, threshold, False), own_role=0
+    # the shorter text is the one cut up; texts of one length meet only once
+    left = _own_segments(earlier, threshold, 0).unionAll(
+        _near_segments(earlier, threshold, "size - 1", 1)
     )
-    right = _signed(
-        _own_segments(later, threshold), _near_segments(later, threshold, True), own_role=1
+    right = _own_segments(later, threshold, 1).unionAll(
+        _near_segments(later, threshold, "size", 0)
     )
     return left, right
 

@@ -73,9 +73,15 @@ def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
     ids = table["cluster_id"].to_numpy(dtype=np.int64)
     points = np.stack(table["centroid"].map(lambda c: np.asarray(c, dtype=np.float64)).to_list())
 
+    found = T.StructType(
+        [T.StructField("cluster_id", T.LongType()), T.StructField("distance2", T.DoubleType())]
+    )
+
+    @F.pandas_udf(found)
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for vectors in batches:
             if len(vectors) == 0:
+                yield pd.DataFrame({"cluster_id": [], "distance2": []})
                 continue
             rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
             distance = np.stack([((rows - p) ** 2).sum(axis=1) for p in points], axis=1)
@@ -84,21 +90,24 @@ def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
                 {"cluster_id": ids[best], "distance2": distance[np.arange(len(rows)), best]}
             )
 
-    found = T.StructType(
-        [T.StructField("cluster_id", T.LongType()), T.StructField("distance2", T.DoubleType())]
-    )
-    udf = F.pandas_udf(nearest, found, F.PandasUDFType.SCALAR_ITER)
-    return df.withColumn("_found", udf(F.col(vector))).select("*", "_found.*").drop("_found")
+    return df.withColumn("_found", nearest(F.col(vector))).select("*", "_found.*").drop("_found")
 
 
 # ------------------------------------------------------------------- summaries
 
 
+def settled(c: Column, digits: int) -> Column:
+    """Rounded half to even, whatever the order the sum was taken in."""
+    return F.bround(F.round(c, 9), digits)
+
+
 def segment_stats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Size, share, means and commonest category of every segment.
 
     Rows first collapse to one line per (segment, category); the summaries are
-    taken from those few lines, so no segment is ever gathered.
+    taken from those few lines, so no segment is ever gathered. Means are cut to
+    nine digits before they are rounded: sums taken in another order then give
+    the same figures, and the prompts built on them keep their keys.
     """
     numbers = [f for f in settings.numeric_features if f in df.columns]
     category = F.col("category_llm") if "category_llm" in df.columns else F.lit(None).cast("string")
@@ -111,12 +120,12 @@ def segment_stats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     found = lines.groupBy("cluster_id").agg(
         F.sum("n").alias("size"),
         *(
-            F.round(F.sum(f"sum_{f}") / F.nullif(F.sum(f"n_{f}"), F.lit(0)), 3).alias(f"avg_{f}")
+            settled(F.sum(f"sum_{f}") / F.nullif(F.sum(f"n_{f}"), F.lit(0)), 3).alias(f"avg_{f}")
             for f in numbers
         ),
         F.min_by("category", F.when(F.col("category").isNotNull(), commonest)).alias("top_category"),
     )
-    share = F.round(100.0 * F.col("size") / F.sum("size").over(Window.partitionBy()), 2)
+    share = settled(100.0 * F.col("size") / F.sum("size").over(Window.partitionBy()), 2)
     return found.select(
         "cluster_id",
         "size",

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from listora.operators.clean import clean
 from listora.operators.normalize import coerce_types
-from listora.session import prepare
+from listora.session import prepare, spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -43,15 +44,21 @@ FROM {events} e JOIN {customer} c ON c.c_custkey = e.user_id JOIN {nation} n ON
 """
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = prepare(spark).read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def listings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Raw listings. ``events`` may be a stream; the other tables are static."""
     prepare(spark)
     sources = {
-        "events": events if events is not None else table(spark, sf_dir, "events"),
+        "events": events if events is not None else spread(table(spark, sf_dir, "events")),
         **{t: table(spark, sf_dir, t) for t in ("customer", "nation", "region")},
     }
     return spark.sql(LISTING_SQL, **sources)

@@ -274,10 +274,10 @@ def stat_text() -> str:
 
 
 def segments(source: str, name: str) -> None:
-    averages = ", ".join(f"round(avg({f}), 3) AS avg_{f}" for f in S.numeric_features)
+    averages = ", ".join(f"round_even(round(avg({f}), 9), 3) AS avg_{f}" for f in S.numeric_features)
     block(f"{name}_stats", f"""
 SELECT a.*, m.category_llm AS top_category FROM (
-  SELECT cluster_id, count(*) AS size, round(100.0 * count(*) / (SELECT count(*) FROM {source}), 2) AS pct_of_total,
+  SELECT cluster_id, count(*) AS size, round_even(round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM {source}), 9), 2) AS pct_of_total,
     {averages} FROM {source} GROUP BY cluster_id) a
 LEFT JOIN (SELECT cluster_id, category_llm FROM {source} WHERE category_llm IS NOT NULL
   GROUP BY cluster_id, category_llm

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from listora.operators.normalize import normalize, with_row_id
 from listora.schema import ROW_ID
-from listora.session import prepare
+from listora.session import prepare, spread
 from listora.settings import Settings
 
 # Every column is text; only an empty field is null. Quotes inside a field are
@@ -58,7 +58,6 @@ def load(
     spark: SparkSession, path: str, rows: int | None = None, settings: Settings = Settings()
 ) -> DataFrame:
     """Scan, optionally cut to the first rows, and normalise."""
-    df = scan(spark, path)
-    if rows:
-        df = head_n(with_row_id(df), rows)
+    df = with_row_id(scan(spark, path))
+    df = head_n(df, rows) if rows else spread(df)
     return normalize(df, settings)
