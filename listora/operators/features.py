@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import (
+    IDF,
+    ElementwiseProduct,
+    HashingTF,
+    Normalizer,
+    RegexTokenizer,
+    VectorAssembler,
+)
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listora.functions.numbers import settled
 from listora.settings import Settings
 
 TEXT_SEPARATOR = " | "  # fixed value: between the text fields
@@ -30,7 +38,7 @@ def distinct_text_stats(df: DataFrame, text: Column) -> DataFrame:
     return counts.agg(
         F.coalesce(total, F.lit(0)).alias("total_rows"),
         distinct.alias("distinct_texts"),
-        F.round(100 * (1 - distinct / F.greatest(total, F.lit(1))), 1).alias("reduction_pct"),
+        settled(100 * (1 - distinct / F.greatest(total, F.lit(1))), 1).alias("reduction_pct"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listora.functions.numbers import settled
 from listora.functions.text import present
 
 # What the profile reports on.
@@ -55,7 +56,7 @@ def profile_counts(df: DataFrame, columns: dict[str, str] = DISTINCT_OF) -> Data
 
 
 def percent(flag: Column) -> Column:
-    return F.round(100 * F.avg(flag.cast("int")), 1)
+    return settled(100 * F.avg(flag.cast("int")), 1)
 
 
 def profile_coverage(df: DataFrame, columns: dict[str, str] = COVERAGE_OF) -> DataFrame:

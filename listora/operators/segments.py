@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listora.functions.json_text import strict_json
+from listora.functions.numbers import settled
 from listora.operators.categories import snippet
 from listora.operators.exchange import keyed_requests, with_replies
 from listora.operators.features import feature_matrix
@@ -96,18 +97,11 @@ def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- summaries
 
 
-def settled(c: Column, digits: int) -> Column:
-    """Rounded half to even, whatever the order the sum was taken in."""
-    return F.bround(F.round(c, 9), digits)
-
-
 def segment_stats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Size, share, means and commonest category of every segment.
 
     Rows first collapse to one line per (segment, category); the summaries are
-    taken from those few lines, so no segment is ever gathered. Means are cut to
-    nine digits before they are rounded: sums taken in another order then give
-    the same figures, and the prompts built on them keep their keys.
+    taken from those few lines, so no segment is ever gathered.
     """
     numbers = [f for f in settings.numeric_features if f in df.columns]
     category = F.col("category_llm") if "category_llm" in df.columns else F.lit(None).cast("string")

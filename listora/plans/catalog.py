@@ -8,12 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listora.functions.numbers import settled
 from listora.functions.similarity import ratio
 from listora.operators import categories, clean, enrich, exchange, features, fuzzy, identity
 from listora.operators import normalize, profile, segments
 from listora.plans import runs
 from listora.plans.fixture import cleaned_listings, listings, replies_by_rule, table, typed_listings
-from listora.plans.oracle_blocks import NO_ID, compose, guard, lcs
+from listora.plans.oracle_blocks import NO_ID, compose, guard, lcs, settle
 from listora.session import prepare, scratch_path, write_out
 from listora.settings import Settings
 from listora.sources import files, sinks
@@ -55,15 +56,15 @@ def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ the flagship
 
 
-@query("directory_overview", """
-SELECT category_normalized, city, count(*) AS n_rows, round(avg(digital_presence_score), 6) AS presence,
-  round(avg(completeness_score), 6) AS completeness, sum(is_active::INT)::BIGINT AS n_active
+@query("directory_overview", f"""
+SELECT category_normalized, city, count(*) AS n_rows, {settle('avg(digital_presence_score)', 4)} AS presence,
+  {settle('avg(completeness_score)', 4)} AS completeness, sum(is_active::INT)::BIGINT AS n_active
 FROM e_clean GROUP BY category_normalized, city""")
 def directory_overview(spark, sf_dir):
     return enriched(spark, sf_dir).groupBy("category_normalized", "city").agg(
         F.count("*").alias("n_rows"),
-        F.round(F.avg("digital_presence_score"), 6).alias("presence"),
-        F.round(F.avg("completeness_score"), 6).alias("completeness"),
+        settled(F.avg("digital_presence_score"), 4).alias("presence"),
+        settled(F.avg("completeness_score"), 4).alias("completeness"),
         F.sum(F.col("is_active").cast("int")).alias("n_active"),
     )
 
@@ -456,9 +457,9 @@ def combined_text(spark, sf_dir):
     return df.select("row_id", features.combined_text(S.text_features).alias("text"))
 
 
-@query("distinct_text_stats", """
+@query("distinct_text_stats", f"""
 SELECT count(*) AS total_rows, count(DISTINCT text) AS distinct_texts,
-  round(100 * (1 - count(DISTINCT text) / greatest(count(*), 1)::DOUBLE), 1) AS reduction_pct FROM documents""")
+  {settle('100 * (1 - count(DISTINCT text) / greatest(count(*), 1)::DOUBLE)', 1)} AS reduction_pct FROM documents""")
 def distinct_text_stats(spark, sf_dir):
     return features.distinct_text_stats(table(spark, sf_dir, "documents"), F.col("text"))
 
@@ -641,11 +642,11 @@ def profile_counts(spark, sf_dir):
     return profile.profile_counts(typed_listings(spark, sf_dir))
 
 
-@query("profile_coverage", """
-SELECT round(100 * avg((coalesce(trim(website) <> '', false))::INT), 1) AS website_pct,
-  round(100 * avg((coalesce(trim(facebook) <> '', false))::INT), 1) AS facebook_pct, 0.0::DOUBLE AS instagram_pct,
-  round(100 * avg((coalesce(trim(phone) <> '', false))::INT), 1) AS phone_pct,
-  round(100 * avg((coalesce(trim(email) <> '', false))::INT), 1) AS email_pct, 0.0::DOUBLE AS booking_link_pct
+@query("profile_coverage", f"""
+SELECT {settle('100 * avg((coalesce(trim(website) <> \'\', false))::INT)', 1)} AS website_pct,
+  {settle('100 * avg((coalesce(trim(facebook) <> \'\', false))::INT)', 1)} AS facebook_pct, 0.0::DOUBLE AS instagram_pct,
+  {settle('100 * avg((coalesce(trim(phone) <> \'\', false))::INT)', 1)} AS phone_pct,
+  {settle('100 * avg((coalesce(trim(email) <> \'\', false))::INT)', 1)} AS email_pct, 0.0::DOUBLE AS booking_link_pct
 FROM l_typed""")
 def profile_coverage(spark, sf_dir):
     return profile.profile_coverage(typed_listings(spark, sf_dir))
@@ -659,10 +660,10 @@ def profile_center(spark, sf_dir):
     return found.select("field", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"))
 
 
-@query("profile_status", """
-SELECT round(100 * avg(is_temporarily_closed::INT), 1) AS temporarily_closed_pct,
-  round(100 * avg(is_permanently_closed::INT), 1) AS permanently_closed_pct,
-  round(100 * avg(coalesce(images_count > 0, false)::INT), 1) AS with_images_pct FROM l_typed""")
+@query("profile_status", f"""
+SELECT {settle('100 * avg(is_temporarily_closed::INT)', 1)} AS temporarily_closed_pct,
+  {settle('100 * avg(is_permanently_closed::INT)', 1)} AS permanently_closed_pct,
+  {settle('100 * avg(coalesce(images_count > 0, false)::INT)', 1)} AS with_images_pct FROM l_typed""")
 def profile_status(spark, sf_dir):
     return profile.profile_status(typed_listings(spark, sf_dir))
 

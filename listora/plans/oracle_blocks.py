@@ -49,6 +49,11 @@ def boo(c: str) -> str:
     return f"coalesce(lower(trim({c})) NOT IN ('false','0','no','n',''), false)"
 
 
+def settle(x: str, digits: int) -> str:
+    """Half to even on decimals, as the engine rounds its means."""
+    return f"round_even(CAST({x} AS DECIMAL(30, 9)), {digits})::DOUBLE"
+
+
 def has(c: str) -> str:
     return f"coalesce(trim({c}) <> '' AND lower({c}) <> 'nan', false)"
 
@@ -274,10 +279,10 @@ def stat_text() -> str:
 
 
 def segments(source: str, name: str) -> None:
-    averages = ", ".join(f"round_even(round(avg({f}), 9), 3) AS avg_{f}" for f in S.numeric_features)
+    averages = ", ".join(f"{settle(f'avg({f})', 3)} AS avg_{f}" for f in S.numeric_features)
     block(f"{name}_stats", f"""
 SELECT a.*, m.category_llm AS top_category FROM (
-  SELECT cluster_id, count(*) AS size, round_even(round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM {source}), 9), 2) AS pct_of_total,
+  SELECT cluster_id, count(*) AS size, {settle(f'100.0::DOUBLE * count(*) / (SELECT count(*) FROM {source})', 2)} AS pct_of_total,
     {averages} FROM {source} GROUP BY cluster_id) a
 LEFT JOIN (SELECT cluster_id, category_llm FROM {source} WHERE category_llm IS NOT NULL
   GROUP BY cluster_id, category_llm

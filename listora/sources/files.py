@@ -13,28 +13,30 @@ from listora.session import prepare, spread
 from listora.settings import Settings
 
 # Every column is text; only an empty field is null. Quotes inside a field are
-# doubled, and a quoted field may span lines.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# doubled.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
-def scan_csv(spark: SparkSession, path: str, headers: list[str] | None = None) -> DataFrame:
+def text_schema(headers) -> T.StructType:
+    return T.StructType([T.StructField(h, T.StringType()) for h in headers])
+
+
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    headers: list[str] | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """Text columns as they stand in the file. With ``headers`` given, nothing is
     read before the job itself.
 
-    A field spanning lines keeps a file from being split, so one large file is
-    read by one task: export many files, or none with line breaks in fields.
+    Fields that span lines keep a file from being split, so each file is one
+    task. Where no field holds a line break, ``multi_line=False`` lets Spark
+    split large files.
     """
-    reader = prepare(spark).read.options(**CSV_OPTIONS)
-    if headers:
-        reader = reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in headers]))
-    return reader.csv(path)
-
-
-def scan_csv_lines(spark: SparkSession, path: str, headers: list[str] | None = None) -> DataFrame:
-    """``scan_csv`` for files without line breaks in fields: splits large files."""
-    reader = prepare(spark).read.options(**{**CSV_OPTIONS, "multiLine": False})
+    reader = prepare(spark).read.options(**CSV_OPTIONS, multiLine=multi_line)
     if headers:
-        reader = reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in headers]))
+        reader = reader.schema(text_schema(headers))
     return reader.csv(path)
 
 
@@ -42,11 +44,11 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return prepare(spark).read.parquet(path)
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
+def scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """By file extension, as the rest of the path says nothing about the format."""
     if PurePosixPath(path).suffix.lower() == ".parquet":
         return scan_parquet(spark, path)
-    return scan_csv(spark, path)
+    return scan_csv(spark, path, multi_line=multi_line)
 
 
 def head_n(df: DataFrame, n: int) -> DataFrame:
@@ -55,9 +57,13 @@ def head_n(df: DataFrame, n: int) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, path: str, rows: int | None = None, settings: Settings = Settings()
+    spark: SparkSession,
+    path: str,
+    rows: int | None = None,
+    settings: Settings = Settings(),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Scan, optionally cut to the first rows, and normalise."""
-    df = with_row_id(scan(spark, path))
+    df = with_row_id(scan(spark, path, multi_line))
     df = head_n(df, rows) if rows else spread(df)
     return normalize(df, settings)

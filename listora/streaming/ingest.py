@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from listora.session import prepare, scratch_path
+from listora.sources.files import CSV_OPTIONS, text_schema
 
 
 def stream_parquet(
@@ -29,13 +30,10 @@ def stream_csv(
     spark: SparkSession, folder: str, headers: list[str], pattern: str = "*.csv",
     files_per_batch: int = 1000,
 ) -> DataFrame:
-    from listora.sources.files import CSV_OPTIONS
-
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
     return (
         prepare(spark)
-        .readStream.schema(schema)
-        .options(**CSV_OPTIONS)
+        .readStream.schema(text_schema(headers))
+        .options(**CSV_OPTIONS, multiLine=True)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
