@@ -15,7 +15,8 @@ RANGES = {"score": (0, 5), "lat": (-90, 90), "lng": (-180, 180)}
 
 
 def usable_name(min_length: int) -> Column:
-    return F.col("name").isNotNull() & (F.length("name") >= min_length)
+    """Also false for a missing name, whose length is null."""
+    return F.length("name") >= min_length
 
 
 def email_normalized(c: Column) -> Column:

@@ -82,19 +82,18 @@ def text_vectors(df: DataFrame, column: str, settings: Settings = Settings()) ->
 def zscores(df: DataFrame, fields) -> DataFrame:
     """Add ``z_<field>``: null counts as 0, population deviation, 0 if constant.
 
-    Mean and deviation of all fields come from one aggregate, brought in as a
-    scalar subquery.
+    Mean and deviation of all fields come from one aggregate over ``df``, whose
+    single row is then written into the expressions.
     """
     value = {f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in fields}
-    moments = F.struct(
+    moments = df.agg(
         *(F.avg(v).alias(f"mean_{f}") for f, v in value.items()),
         *(F.stddev_pop(v).alias(f"dev_{f}") for f, v in value.items()),
-    )
-    moments = df.agg(moments.alias("moments")).scalar()
+    ).first()
 
     def scaled(f: str) -> Column:
-        dev = moments[f"dev_{f}"]
-        return (value[f] - moments[f"mean_{f}"]) / F.when(dev == 0, 1.0).otherwise(dev)
+        mean, dev = moments[f"mean_{f}"], moments[f"dev_{f}"]
+        return (value[f] - F.lit(mean)) / F.lit(dev if dev else 1.0)
 
     return df.select("*", *(scaled(f).alias(f"z_{f}") for f in fields))
 
@@ -107,19 +106,20 @@ def feature_matrix(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
         raise ValueError("neither a text nor a numeric feature column is present")
     columns = df.columns
     parts: list[str] = []
+    if numbers:
+        df = zscores(df, numbers)
+        parts += [f"z_{f}" for f in numbers]
     if texts:
         df = text_vectors(df.withColumn("_text", combined_text(texts)), "_text", settings)
-        parts.append("text_vector")
-        if numbers:
+        if not numbers:
+            parts.append("text_vector")
+        else:
             weight = Vectors.dense([settings.text_weight] * settings.text_dimensions)
             scale = ElementwiseProduct(
                 scalingVec=weight, inputCol="text_vector", outputCol="_scaled_text"
             )
             df = scale.transform(df)
-            parts = ["_scaled_text"]
-    if numbers:
-        df = zscores(df, numbers)
-        parts += [f"z_{f}" for f in numbers]
+            parts.insert(0, "_scaled_text")
     return VectorAssembler(inputCols=parts, outputCol="features").transform(df).select(
         *columns, "features"
     )

@@ -193,11 +193,7 @@ def _number_in_block(keys: DataFrame) -> DataFrame:
     Range partitioning by block and order cuts a large block into runs; a key's
     position is its place in the run plus the size of the runs before it.
     """
-    spark = keys.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = keys.repartitionByRange(parts, "block", "first").withColumn(
-        "run", F.spark_partition_id()
-    )
+    runs = keys.repartitionByRange("block", "first").withColumn("run", F.spark_partition_id())
     # written out: sampling the ranges again could cut the runs elsewhere
     runs = write_out(runs, "runs")
     before = Window.partitionBy("block").orderBy("run").rowsBetween(

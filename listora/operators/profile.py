@@ -104,7 +104,7 @@ def profile_center(df: DataFrame, fields=CENTER_OF) -> DataFrame:
         F.count("*").alias("n"), F.avg("value").alias("mean"), bracket.alias("bracket")
     )
     tallied = lines.groupBy("field", "value").agg(F.count("*").alias("copies"))
-    tallied = tallied.join(whole, "field")
+    tallied = tallied.join(F.broadcast(whole), "field")  # one row per field asked for
     low, high = F.col("bracket")[0], F.col("bracket")[1]
     # everything below the bracket becomes one line
     inside = F.when(F.col("value") >= low, F.col("value"))

@@ -568,7 +568,7 @@ def segment_samples(spark, sf_dir):
 
 
 def segment_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = segmented(spark, sf_dir)
+    rows = write_out(segmented(spark, sf_dir), "segmented")
     stats = write_out(segments.segment_stats(rows), "stats")
     asked = write_out(segments.segment_requests(stats, segments.segment_samples(rows)), "asked")
     return stats, asked

@@ -6,14 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from listora.operators import categories, segments
 from listora.operators.clean import clean
 from listora.operators.enrich import enrich
-from listora.operators.fuzzy import resolve_entities
+from listora.operators.fuzzy import dedup_fuzzy, resolve_entities
 from listora.operators.identity import dedup_exact
-from listora.operators.fuzzy import dedup_fuzzy
 from listora.session import row_count, write_out, write_out_with
 from listora.settings import Settings
 from listora.sources.sinks import metrics_table, segment_report
@@ -85,7 +83,9 @@ def with_responses(
     ``requests``: answer those and run again.
     """
     spark = df.sparkSession
-    assign = assign or (lambda table: segments.fit_segments(table, settings)[0])
+    assign = assign or (
+        lambda table: segments.fit_segments(write_out(table, "categorised"), settings)[0]
+    )
     listings = write_out(prepared(df, settings), "prepared")
 
     asked = write_out(categories.category_requests(listings, settings), "category-requests")
@@ -93,9 +93,7 @@ def with_responses(
         categories.category_labels(asked, respond(asked), settings), "category-labels"
     )
     listings = categories.apply_categories(listings, labelled, settings)
-    listings, n_rows = write_out_with(
-        assign(write_out(listings, "categorised")), "segmented", row_count()
-    )
+    listings, n_rows = write_out_with(assign(listings), "segmented", row_count())
 
     stats = write_out(segments.segment_stats(listings, settings), "stats")
     samples = segments.segment_samples(listings, settings)
