@@ -65,6 +65,29 @@ def match_key(columns) -> Column:
 
 # ---------------------------------------------------------------- candidates
 
+# Character counts of a text, cut off at three: bit c of mask n says that
+# characters of class c occur at least n times. An insertion or deletion moves
+# one count by one and so flips at most one bit, which makes differing bits a
+# lower bound for the edits that costs three machine words to look up.
+_COUNTED = """
+aggregate(split(key, ''), named_struct('m1', 0L, 'm2', 0L, 'm3', 0L),
+  (m, c) -> named_struct(
+    'm1', m.m1 | shiftleft(1L, ascii(c) % 64),
+    'm2', m.m2 | (m.m1 & shiftleft(1L, ascii(c) % 64)),
+    'm3', m.m3 | (m.m2 & shiftleft(1L, ascii(c) % 64))))"""
+_TEXT = ["block", "ord", "key", "counts"]
+
+
+def _with_counts(texts: DataFrame) -> DataFrame:
+    return texts.select("block", "ord", "key", F.expr(_COUNTED).alias("counts"))
+
+
+def _differing_counts() -> Column:
+    return sum(
+        F.bit_count(F.col(f"a_counts.{m}").bitwiseXOR(F.col(f"b_counts.{m}")))
+        for m in ("m1", "m2", "m3")
+    )
+
 
 def _edits(length: str, threshold: float) -> str:
     return f"({100 * SCALE - scaled(threshold)} * CAST({length} AS BIGINT) DIV {100 * SCALE})"
@@ -91,7 +114,7 @@ def _own_segments(texts: DataFrame, threshold: float, role: int) -> DataFrame:
     """Each text cut into its segments."""
     return texts.sparkSession.sql(
         f"""
-        SELECT block, ord, key, xxhash64(block, cut_of, number,
+        SELECT block, ord, key, counts, xxhash64(block, cut_of, number,
             substr(key, {_BEGIN} + 1, {_END} - {_BEGIN}), {role}) AS signature
         FROM (SELECT *, length(key) AS cut_of, {_cuts('length(key)', threshold)} AS cuts FROM {{texts}})
         LATERAL VIEW explode(sequence(0L, cuts - 1)) AS number""",
@@ -112,10 +135,10 @@ def _near_segments(texts: DataFrame, threshold: float, longest: str, role: int)
     limit = _edits("size + cut_of", threshold)
     return texts.sparkSession.sql(
         f"""
-        SELECT block, ord, key, xxhash64(block, cut_of, number,
+        SELECT block, ord, key, counts, xxhash64(block, cut_of, number,
             substr(key, CAST({_BEGIN} + shift + 1 AS INT), {_END} - {_BEGIN}), {role}) AS signature
         FROM (
-          SELECT block, ord, key, size, cut_of, gap, cuts, {limit} - pmod({limit} - gap, 2) AS edits
+          SELECT block, ord, key, counts, size, cut_of, gap, cuts, {limit} - pmod({limit} - gap, 2) AS edits
           FROM (
             SELECT *, CAST(size - cut_of AS BIGINT) AS gap, {_cuts('cut_of', threshold)} AS cuts
             FROM (SELECT *, length(key) AS size, CAST(greatest(1,
@@ -138,7 +161,7 @@ def _signatures(earlier: DataFrame, later: DataFrame, threshold: float):
     if not segmentable(threshold):
         # too many edits allowed for a segment to survive: the block is the key
         def whole(df: DataFrame) -> DataFrame:
-            return df.select("block", "ord", "key", F.xxhash64("block").alias("signature"))
+            return df.select(*_TEXT, F.xxhash64("block").alias("signature"))
 
         return whole(earlier), whole(later)
     # the shorter text is the one cut up; texts of one length meet only once
@@ -155,23 +178,25 @@ def similar_pairs(earlier: DataFrame, later: DataFrame, threshold: float) -> Dat
     """Pairs (block, src, dst), src before dst, scoring at or above the threshold.
 
     Both inputs hold (block, ord, key), keys not empty and distinct per block.
-    Edit distance brackets the number of insertions and deletions from below
-    and above, which settles most candidates inside the JVM; only pairs in
-    between are scored exactly. A pair meeting on several segments comes out
+    Character counts rule out most candidates. Edit distance then brackets the
+    number of insertions and deletions from below and above, which settles most
+    of the rest inside the JVM; only pairs in between are scored exactly. A pair meeting on several segments comes out
     several times.
     """
-    left, right = _signatures(earlier, later, threshold)
-    a = left.select("signature", *(F.col(c).alias(f"a_{c}") for c in ("block", "ord", "key")))
-    b = right.select("signature", *(F.col(c).alias(f"b_{c}") for c in ("block", "ord", "key")))
+    left, right = _signatures(_with_counts(earlier), _with_counts(later), threshold)
+    a = left.select("signature", *(F.col(c).alias(f"a_{c}") for c in _TEXT))
+    b = right.select("signature", *(F.col(c).alias(f"b_{c}") for c in _TEXT))
     pairs = a.join(b, "signature").filter(
         (F.col("a_block") == F.col("b_block")) & (F.col("a_ord") < F.col("b_ord"))
     )
     sizes = F.length("a_key") + F.length("b_key")
     gap = F.abs(F.length("a_key") - F.length("b_key"))
     limit = allowed_edits(sizes, threshold)
+    distance = F.call_function(
+        "levenshtein", F.col("a_key"), F.col("b_key"), F.col("limit").cast("int")
+    )
     pairs = pairs.withColumn("limit", limit).withColumn(
-        "distance",
-        F.call_function("levenshtein", F.col("a_key"), F.col("b_key"), F.col("limit").cast("int")),
+        "distance", F.when(_differing_counts() <= F.col("limit"), distance).otherwise(-1)
     )
     pairs = pairs.filter((F.col("distance") >= 0) & (gap <= F.col("limit")))
     unsure = 2 * F.col("distance") - gap > F.col("limit")
