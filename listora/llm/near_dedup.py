@@ -33,7 +33,7 @@ SHINGLE = 5
 SLOTS = 128
 BAND = 4  # slots
 AGREEING = 84  # of SLOTS, see above
-BLOCK = 256  # classes of a bucket that meet in one task
+BLOCK = 1024  # classes of a bucket that meet in one task
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -127,14 +127,13 @@ def _alike(batches: pd.DataFrame) -> pd.DataFrame:
     left, right = np.flatnonzero(row), np.flatnonzero(col)
     out = []
     for i in left:
-        same = sketch[right] == sketch[i]
-        close = right[same.sum(axis=1) >= AGREEING]
-        for j in close:
-            if group[i] == group[j] or (row[j] and node[j] <= node[i]):
-                continue
-            agree = (sketch[i] == sketch[j]).reshape(-1, BAND).all(axis=1)
-            if int(agree.argmax()) == band:
-                out.append((min(node[i], node[j]), max(node[i], node[j])))
+        others = right[group[right] != group[i]]
+        if row[i] and col[i]:
+            others = others[others > i]  # rows and columns are the same classes
+        close = others[(sketch[others] == sketch[i]).sum(axis=1) >= AGREEING]
+        bands = (sketch[close] == sketch[i]).reshape(len(close), -1, BAND).all(axis=2)
+        for j in close[bands.argmax(axis=1) == band]:
+            out.append((min(node[i], node[j]), max(node[i], node[j])))
     return pd.DataFrame(out, columns=["a", "b"])
 
 
