@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+from listora.llm import chat_format, decontaminate, language_id, packing, substring_dedup, token_counts
 from listora.llm.near_dedup import near_duplicates
 from listora.session import prepare
 
@@ -46,3 +48,70 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.seen) AS componen
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.node = d.doc_id GROUP BY d.doc_id, n.n""")
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("set_digest")
+
+
+@query("op2_packing")
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096, with_ids=False
+    )
+
+
+@query("op5_token_counts")
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096
+    )
+
+
+@query("op6_language_id")
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op7_decontaminate")
+def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_substring_dedup", f"""
+WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+p AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+m AS (SELECT win, min(doc_id) AS least FROM p GROUP BY 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM p JOIN m USING (win) WHERE least < doc_id),
+r AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN ws
+    ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' '), '')) AS kept_sha256
+FROM w LEFT JOIN r USING (doc_id)""")
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents")).drop("spans", "key")
+
+
+def _marked(text: str) -> str:
+    return f"replace(replace(replace(replace({text}, '&', '&amp;'), '</s>', '&lt;/s>'), '[INST]', '&#91;INST]'), '[/INST]', '&#91;/INST]')"
+
+
+def _plain(text: str) -> str:
+    return f"replace(replace(replace({text}, '&#91;', '['), '&lt;', '<'), '&amp;', '&')"
+
+
+@query("op10_chat_format", f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]'))),
+f AS (SELECT *, role LIKE '%[/INST]%' OR contains(role || text, '</s>') OR {_plain("role")} <> role OR {_plain("text")} <> text AS clash FROM t),
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS told,
+  coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+  sum(length('[INST][/INST]</s>') + CASE WHEN clash THEN length({_marked("role")}) + length({_marked("text")}) ELSE length(role) + length(text) END) AS n
+  FROM f GROUP BY 1)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM c""")
+def _chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return chat_format.chat_digests(chat_format.chat_texts(turns))
