@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,11 +24,21 @@ from listora.llm.arrow_batches import pieces
 
 LONGEST = 4096
 REMEMBERED = 300_000  # words a worker remembers
-LONGEST_REMEMBERED = 48  # bytes
 
 # ASCII signs that are a pre-token of their own after a letter or digit; the apostrophe is not among them, since
 # contractions are split in another way.
 _SIGNS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+_LATIN_END = "\u0250"  # below it letters are composed, and no case change adds characters but for the dotted capital I
+
+
+def _byte_characters() -> dict[int, str]:
+    """Characters a byte-level vocabulary writes bytes as: printable ones as they are, the rest from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(0x100 + i) for i, byte in enumerate(rest)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
 
 
 class WordIds(dict):
@@ -35,21 +46,41 @@ class WordIds(dict):
 
     The tokenizer drops white space and no pre-token, and no composed character, spans any, so a text's ids are those of
     its words one after the other. Words are folded where the tokenizer folds, and signs at a word's end are pre-tokens of
-    their own, so that fewer distinct words have to be merged by the library. Words a batch does not know are encoded
-    together.
+    their own, so that fewer distinct words have to be merged. Words a batch does not know are encoded together, plain
+    Latin letters straight by the library's merge model. What a worker remembers is bounded; what it has used since the
+    bound was last reached stays.
     """
 
     def __init__(self, tokenizer_file: str):
         super().__init__()
+        self.before: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.folds = self._ids([b"A"]) == self._ids([b"a"])
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        texts = [word.decode() for word in words]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        self.folds = self._whole([b"A"]) == self._whole([b"a"])
+        probes = [b"a", "étude".encode(), "großväter".encode(), "ciónñ".encode(), b"antidisestablishmentarianism"]
+        self.straight = self.folds and [self._merged(x) for x in probes] == self._whole(probes)
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
+
+    def _merged(self, letters: bytes) -> bytes:
+        found = self.tokenizer.model.tokenize(letters.decode("latin-1").translate(_BYTE_CHARACTERS))
+        return struct.pack(f"<{len(found)}I", *[token.id for token in found])
+
+    def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found, others = {}, []
+        for word in words:
+            if self.straight:
+                letters = word.decode()
+                low = letters.lower()
+                if letters.isalpha() and len(low) == len(letters) and max(low) < _LATIN_END:
+                    found[word] = self._merged(low.encode())
+                    continue
+            others.append(word)
+        found.update(zip(others, self._whole(others), strict=True))
+        return found
 
     def _parts(self, word: bytes) -> list[bytes]:
         """The word itself, or its letters and the signs at its end where the tokenizer splits there."""
@@ -62,16 +93,17 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> None:
         """Makes all these words known."""
-        new = words - self.keys()
-        if not new:
-            return
         if len(self) > REMEMBERED:
+            self.before = dict(self)
             self.clear()
-            new = words
-        parts = {word: self._parts(word) for word in new}
-        open_parts = list({part for found in parts.values() for part in found} - self.keys())
-        ids = dict(zip(open_parts, self._ids(open_parts), strict=True))
-        self.update(ids)
+        new = words - self.keys()
+        for word in new & self.before.keys():
+            self[word] = self.before[word]
+        parts = {word: self._parts(word) for word in new - self.keys()}
+        open_parts = {part for found in parts.values() for part in found} - self.keys()
+        for part in open_parts & self.before.keys():
+            self[part] = self.before[part]
+        self.update(self._ids(list(open_parts - self.keys())))
         for word, found in parts.items():
             if found != [word]:
                 self[word] = b"".join(map(self.__getitem__, found))
@@ -79,7 +111,7 @@ class WordIds(dict):
 
 def _is_latin_letter(core: bytes) -> bool:
     last = core[-2:].decode("utf-8", "ignore")[-1:]
-    return bool(last) and last.isalpha() and ord(last) < 0x250
+    return bool(last) and last.isalpha() and last < _LATIN_END
 
 
 @functools.lru_cache(maxsize=4)
@@ -95,15 +127,14 @@ def powers(count: int, longest: int = LONGEST) -> list[int]:
 
 
 def _packed(tokenizer_file: str, end_id: int, longest: int, with_ids: bool):
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_ids(tokenizer_file)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 docs = [(text.as_py() or "").encode().split() for text in piece.column("text")]
-                distinct = set().union(*docs)
-                known.learn(distinct)
+                known.learn(set().union(*docs))
                 out: list[tuple] = []
                 for doc_id, found in zip(piece.column("doc_id").to_pylist(), docs, strict=True):
                     ids = b"".join(map(known.__getitem__, found)) + end
