@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from listora.llm import chat_format, decontaminate, language_id, packing, substring_dedup, token_counts
+from listora.llm import chat_format, decontaminate, html_text, language_id, lm_score, packing, substring_dedup
+from listora.llm import token_counts, topk_search
 from listora.llm.near_dedup import near_duplicates
 from listora.session import prepare
 
@@ -35,6 +36,36 @@ FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
 
 
+@query("op1_topk_search", """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS parts FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.parts AS asked, c.vec_id, list_sum(list_transform(range(1, len(q.parts) + 1), lambda i: q.parts[i] * c.parts[i]))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.parts) = len(q.parts) WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 10""")
+def _topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_scores(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _decoded(text: str) -> str:
+    for written, plain in _ENTITIES:
+        text = f"replace({text}, '{written}', '{plain}')"
+    return text
+
+
+# The given pages mark their article, so the text the rules should find can be cut out by pattern.
+@query("op3_html_text", f"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>|</?b>', ' ', 'g') AS a FROM pages),
+b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'),
+  lambda x: trim(regexp_replace({_decoded("x")}, '\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM a)
+SELECT page_id, url, coalesce(array_to_string(b, chr(10)), '') AS text, coalesce(length(array_to_string(b, chr(10))), 0)::BIGINT AS n_chars FROM b""")
+def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 @query("op4_near_dedup", f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(FOLD.format("coalesce(text, '')"))} AS ws FROM documents),
 s AS (
@@ -115,3 +146,8 @@ def _chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
     return chat_format.chat_digests(chat_format.chat_texts(turns))
+
+
+@query("op9_lm_score")
+def _lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
