@@ -60,7 +60,7 @@ def _decoded(text: str) -> str:
 @query("op3_html_text", f"""
 WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>|</?b>', ' ', 'g') AS a FROM pages),
 b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'),
-  lambda x: trim(regexp_replace({_decoded("x")}, '\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM a)
+  lambda x: trim(regexp_replace({_decoded("x")}, '\\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM a)
 SELECT page_id, url, coalesce(array_to_string(b, chr(10)), '') AS text, coalesce(length(array_to_string(b, chr(10))), 0)::BIGINT AS n_chars FROM b""")
 def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages"))

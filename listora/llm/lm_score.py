@@ -298,7 +298,7 @@ def scores(docs: DataFrame) -> DataFrame:
     groups = dealt.groupBy("batch")
     asked = groups.applyInArrow(_asked(n_buckets), _COUNT_ROWS)
     last_shard = size // (BATCH_BYTES * SHARD)
-    shown = model.select("kind", "bucket", "n", "keys", "counts", F.explode(F.sequence(F.lit(0), F.lit(last_shard))).cast("long").alias("shard"))
+    shown = model.select("kind", "bucket", "n", "keys", "counts", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last_shard).cast("long"))).alias("shard"))
     answers = (
         asked.groupBy("kind", "bucket", "shard")
         .cogroup(shown.groupBy("kind", "bucket", "shard"))

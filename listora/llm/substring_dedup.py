@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listora.llm.arrow_batches import pieces
+from listora.llm.distinct_texts import dealt_texts, merged_copies, text_key, total_bytes
 from listora.llm.hashing import whole_windows, windows, words
+from listora.llm.key_counts import pack, pack_keys, unpack, unpack_keys
 
 WINDOW = 13  # words
 PERIOD = 7
@@ -32,7 +34,7 @@ BATCH_BYTES = 8 << 20  # of text
 BUCKET_HASHES = 1 << 19
 
 _ANCHORS, _LEAST = 0, 1
-_ROWS = "batch long, bucket long, kind int, a binary, b binary, c binary"
+_ROWS = "batch long, bucket long, kind int, n long, a binary, b binary, c binary"
 _RESULT = "key binary, doc_id long, n_words long, n_removed long, kept_sha256 string, all_sha256 string, spans array<struct<first:int,end:int>>"
 _RESULT_TYPES = {
     "key": pa.binary(), "doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "all_sha256": pa.string(),
@@ -46,10 +48,10 @@ class _Batch:
     def __init__(self, table: pa.Table):
         self.keys, self.texts, self.named = [], [], []
         ids, anchors, anchor_at, hashes, first, total = [], [], [], [], [0], 0
-        for batch in table.select(["key", "doc_id", "text"]).to_batches():
+        for batch in merged_copies(table).to_batches():
             for piece in pieces(batch, "text"):
                 found = words(piece.column("text"))
-                named = piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                named = piece.column("least").is_valid().to_numpy(zero_copy_only=False)
                 at = whole_windows(found, ANCHOR)
                 owner = np.searchsorted(found.first, at, side="right") - 1
                 on_cover = np.isin((at - found.first[owner]) % PERIOD, COVER) & named[owner]
@@ -58,7 +60,7 @@ class _Batch:
                 hashes.append(found.hashes)
                 first.extend((found.first[1:] + total).tolist())
                 total += len(found.hashes)
-                ids.append(piece.column("doc_id").fill_null(-1).to_numpy())
+                ids.append(piece.column("least").fill_null(-1).to_numpy())
                 self.named.extend(named.tolist())
                 self.keys.extend(piece.column("key").to_pylist())
                 self.texts.append(piece.column("text"))
@@ -107,7 +109,7 @@ def _table(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.Table:
     return pa.table({name: pa.array(column, kind) for (name, kind), column in zip(kinds.items(), columns, strict=True)})
 
 
-_ROW_TYPES = {"batch": pa.int64(), "bucket": pa.int64(), "kind": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
+_ROW_TYPES = {"batch": pa.int64(), "bucket": pa.int64(), "kind": pa.int32(), "n": pa.int64(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
 
 
 def _anchor_rows(n_buckets: int, key: tuple, table: pa.Table) -> pa.Table:
@@ -116,27 +118,27 @@ def _anchor_rows(n_buckets: int, key: tuple, table: pa.Table) -> pa.Table:
     rows = []
     for bucket, low, high in zip(buckets, edges, edges[1:], strict=False):
         often = np.packbits(batch.often[low:high] > 1).tobytes()
-        rows.append((key[0].as_py(), bucket, _ANCHORS, batch.anchors[low:high].tobytes(), often, None))
+        rows.append((key[0].as_py(), bucket, _ANCHORS, high - low, pack_keys(batch.anchors[low:high]), often, None))
     return _table(rows, _ROW_TYPES)
 
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
     """For each row, a bit for each of its anchors: does it occur more than once?"""
-    parts = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table["a"]]
+    parts = [unpack_keys(data, n) for n, data in zip(table["n"].to_pylist(), table["a"].to_pylist(), strict=True)]
     often = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(y)) for x, y in zip(table["b"], parts, strict=True)]
     _, place, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     shared = (counts[place] > 1) | (np.concatenate(often) > 0)
     rows, low = [], 0
     for batch, bucket, part in zip(table["batch"].to_pylist(), table["bucket"].to_pylist(), parts, strict=True):
         bits = np.packbits(shared[low : low + len(part)]).tobytes()
-        rows.append((batch, bucket, _ANCHORS, bits, None, None))
+        rows.append((batch, bucket, _ANCHORS, len(part), bits, None, None))
         low += len(part)
     return _table(rows, _ROW_TYPES)
 
 
-def _returned(back: pa.Table, kind: int) -> dict[int, bytes]:
-    rows = zip(back["bucket"].to_pylist(), back["kind"].to_pylist(), back["a"].to_pylist(), strict=True)
-    return {bucket: data for bucket, of, data in rows if of == kind}
+def _returned(back: pa.Table, kind: int) -> dict[int, tuple[bytes, int]]:
+    rows = zip(*(back[name].to_pylist() for name in ("bucket", "kind", "a", "n")), strict=True)
+    return {bucket: (data, n) for bucket, of, data, n in rows if of == kind}
 
 
 def _candidates(batch: _Batch, back: pa.Table, n_buckets: int) -> np.ndarray:
@@ -144,7 +146,7 @@ def _candidates(batch: _Batch, back: pa.Table, n_buckets: int) -> np.ndarray:
     bits = _returned(back, _ANCHORS)
     buckets, edges = _bucket_edges(batch.anchors, n_buckets)
     for bucket, low, high in zip(buckets, edges, edges[1:], strict=False):
-        shared[low:high] = np.unpackbits(np.frombuffer(bits[bucket], dtype=np.uint8), count=high - low)
+        shared[low:high] = np.unpackbits(np.frombuffer(bits[bucket][0], dtype=np.uint8), count=high - low)
     return batch.candidates(shared)
 
 
@@ -156,7 +158,7 @@ def _window_rows(n_buckets: int, key: tuple, docs: pa.Table, back: pa.Table) ->
     buckets, edges = _bucket_edges(one, n_buckets)
     return _table(
         [
-            (key[0].as_py(), bucket, _LEAST, one[low:high].tobytes(), two[low:high].tobytes(), least[low:high].tobytes())
+            (key[0].as_py(), bucket, _LEAST, high - low, pack_keys(one[low:high]), two[low:high].tobytes(), pack(least[low:high]))
             for bucket, low, high in zip(buckets, edges, edges[1:], strict=False)
         ],
         _ROW_TYPES,
@@ -165,9 +167,10 @@ def _window_rows(n_buckets: int, key: tuple, docs: pa.Table, back: pa.Table) ->
 
 def _least_ids(table: pa.Table) -> pa.Table:
     """For each row, the least doc_id anywhere of each of its windows."""
-    one = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table["a"]]
-    two = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table["b"]]
-    ids = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table["c"]])
+    sizes = table["n"].to_pylist()
+    one = [unpack_keys(data, n) for n, data in zip(sizes, table["a"].to_pylist(), strict=True)]
+    two = [np.frombuffer(data, dtype=np.uint64) for data in table["b"].to_pylist()]
+    ids = np.concatenate([unpack(data, n, np.int64) for n, data in zip(sizes, table["c"].to_pylist(), strict=True)])
     flat_one, flat_two = np.concatenate(one), np.concatenate(two)
     order = np.lexsort((ids, flat_two, flat_one))
     new = np.ones(len(ids), dtype=bool)
@@ -176,7 +179,7 @@ def _least_ids(table: pa.Table) -> pa.Table:
     least[order] = ids[order][new][np.cumsum(new) - 1]
     rows, low = [], 0
     for batch, bucket, part in zip(table["batch"].to_pylist(), table["bucket"].to_pylist(), one, strict=True):
-        rows.append((batch, bucket, _LEAST, least[low : low + len(part)].tobytes(), None, None))
+        rows.append((batch, bucket, _LEAST, len(part), pack(least[low : low + len(part)]), None, None))
         low += len(part)
     return _table(rows, _ROW_TYPES)
 
@@ -189,7 +192,7 @@ def _removed(n_buckets: int, key: tuple, docs: pa.Table, back: pa.Table) -> pa.T
     one, _, _, which, ids = batch.windows_at(at)
     found = _returned(back, _LEAST)
     buckets, _ = _bucket_edges(one, n_buckets)
-    least = np.frombuffer(b"".join(found[bucket] for bucket in buckets), dtype=np.int64)
+    least = np.concatenate([np.zeros(0, np.int64), *(unpack(*found[bucket], np.int64) for bucket in buckets)])
     gone_at = at[least[which] < ids] if len(at) else at
     steps = np.zeros(len(batch.hashes) + 1, dtype=np.int64)
     np.add.at(steps, gone_at, 1)
@@ -208,21 +211,13 @@ def _removed(n_buckets: int, key: tuple, docs: pa.Table, back: pa.Table) -> pa.T
     return _table(rows, _RESULT_TYPES)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("text", text).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-
-
 def repeated_spans(docs: DataFrame, batch_bytes: int = BATCH_BYTES, bucket_hashes: int = BUCKET_HASHES) -> DataFrame:
     """What to remove from the copy with the least doc_id of each distinct text: key (its md5), doc_id, n_words,
     n_removed, kept_sha256, all_sha256 and spans (word ranges, first and end), for rows doc_id, text."""
-    texts = _keyed(docs.select("doc_id", "text")).groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.min("text").alias("text")
-    )
-    size = docs.select(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    size = total_bytes(docs)
     n_batches = 1 + size // batch_bytes
     n_buckets = 1 + size // (5 * bucket_hashes)  # a word takes about 6 bytes and gives 3 / 7 of an anchor
-    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(n_batches)))
+    dealt = dealt_texts(docs, F.col("doc_id"), F.lit(1), n_batches)
     groups = dealt.groupBy("batch")
     bits = (
         groups.applyInArrow(lambda key, table: _anchor_rows(n_buckets, key, table), _ROWS)
@@ -253,7 +248,7 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")))
     untouched = F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least"))
-    return _keyed(docs).select("doc_id", "key").join(found, "key").select(
+    return docs.select("doc_id", text_key().alias("key")).join(found, "key").select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).when(untouched, 0).otherwise(F.col("n_removed")).alias("n_removed"),
