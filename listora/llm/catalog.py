@@ -117,7 +117,7 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_r
     ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' '), '')) AS kept_sha256
 FROM w LEFT JOIN r USING (doc_id)""")
 def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_words(table(spark, sf_dir, "documents")).drop("spans", "key")
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def _marked(text: str) -> str:

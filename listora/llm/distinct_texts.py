@@ -45,6 +45,18 @@ def merged_copies(table: pa.Table) -> pa.Table:
     return merged.append_column("text", table["text"].take(rows))
 
 
+def fresh_names(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that the table does not have yet, in any case."""
+    taken = {column.lower() for column in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def total_bytes(docs: DataFrame) -> int:
     return docs.select(F.sum(F.octet_length("text")).alias("n")).first().n or 0
 

@@ -20,11 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listora.llm.arrow_batches import binary_rows, pieces
-from listora.llm.hashing import mixed, whole_windows, windows, words
+from listora.llm.distinct_texts import fresh_names, text_key
+from listora.llm.hashing import whole_windows, windows, words
 from listora.llm.links import components
 from listora.llm.superminhash import signatures, sketches
 from listora.session import write_out
@@ -74,8 +75,11 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests = [_digest(elements[first[i] : first[i + 1]]) for i in range(len(sizes))]
             rows = np.arange(len(sizes) + 1) * SLOTS
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), binary_rows(sketch.reshape(-1), rows)],
-                names=["doc_id", "n_shingles", "class", "sketch"],
+                [
+                    piece.column("doc_id"), piece.column("text_key"), pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()), binary_rows(sketch.reshape(-1), rows),
+                ],
+                names=["doc_id", "text_key", "n_shingles", "class", "sketch"],
             )
 
 
@@ -131,7 +135,7 @@ def _alike(batches: pd.DataFrame) -> pd.DataFrame:
         if row[i] and col[i]:
             others = others[others > i]  # rows and columns are the same classes
         close = others[(sketch[others] == sketch[i]).sum(axis=1) >= AGREEING]
-        bands = (sketch[close] == sketch[i]).reshape(len(close), -1, BAND).all(axis=2)
+        bands = (sketch[close] == sketch[i]).reshape(len(close), SLOTS // BAND, BAND).all(axis=2)
         for j in close[bands.argmax(axis=1) == band]:
             out.append((min(node[i], node[j]), max(node[i], node[j])))
     return pd.DataFrame(out, columns=["a", "b"])
@@ -177,22 +181,14 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame) -> Da
     return pairs.distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """Group of every document: doc_id, n_shingles, component_id, kept, and the class (null without words).
-
-    Words are runs of bytes other than ASCII white space, A-Z folded; a set holds the distinct 5-word shingles, or the
-    whole sequence where there are fewer words. Documents are linked where 100 * intersection >= percent * union.
-    component_id is the least doc_id reachable and kept tells whether it is the document's own.
-
-    Null or empty texts, and texts without words, have no shingles, are linked with nothing and kept. A null doc_id
-    takes part with its text but is never the least id; a component of null ids only has a null component_id and kept
-    is then false for all but such a document without any link or equal. Repeated rows share their class; rows that
-    share a doc_id get the same component_id only if their texts are linked. Other columns are left out, whatever their
-    names. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, class, and of its component: label, component_id and number of documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = write_out(
-        docs.mapInArrow(_sketched, "doc_id long, n_shingles long, class binary, sketch binary"), "sketches"
+        docs.withColumn("text_key", text_key()).mapInArrow(
+            _sketched, "doc_id long, text_key binary, n_shingles long, class binary, sketch binary"
+        ),
+        "sketches",
     )
     classes = (
         sketched.where("class IS NOT NULL").groupBy("class")
@@ -229,14 +225,50 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = labelled.groupBy("component").agg(
         F.min("doc_id").alias("component_id"), F.sum("copies").alias("n_documents")
     )
-    of_class = labelled.select("class", "component").join(least, "component").drop("component")
-    out = sketched.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+    of_class = labelled.select("class", "component").join(least, "component")
+    return sketched.drop("sketch").join(of_class, "class", "left")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """Group of every document: doc_id, n_shingles, component_id, kept, and the class (null without words).
+
+    Words are runs of bytes other than ASCII white space, A-Z folded; a set holds the distinct 5-word shingles, or the
+    whole sequence where there are fewer words. Documents are linked where 100 * intersection >= percent * union.
+    component_id is the least doc_id reachable and kept tells whether it is the document's own.
+
+    Null or empty texts, and texts without words, have no shingles, are linked with nothing and kept. A null doc_id
+    takes part with its text but is never the least id; a component of null ids only has a null component_id and kept
+    is then false for all but such a document without any link or equal. Repeated rows share their class; rows that
+    share a doc_id get the same component_id only if their texts are linked. Other columns are left out, whatever their
+    names. An empty table gives no rows.
+    """
     alone = F.col("class").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
+    return _grouped(docs, percent).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, alone | (F.col("n_documents") == 1)).alias("kept"),
         F.col("class").alias("set_digest"),
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """Rows of `docs`, all columns as they are, of which one stays of each group of near-duplicates.
+
+    It is the one with the least doc_id (a null id comes last, equal ids go by the text's md5). Rows without words are in
+    no group and all stay. Of rows with the same doc_id and text any one stays.
+    """
+    key, salt, other_id, other_key = fresh_names(docs, "text_key", "salt", "kept_id", "kept_key")
+    place = F.row_number().over(Window.partitionBy("component").orderBy(F.col("doc_id").asc_nulls_last(), "text_key"))
+    grouped = write_out(_grouped(docs, percent).select("doc_id", "text_key", "component"), "groups")
+    first = grouped.where("component IS NOT NULL").withColumn("place", place).where("place = 1")
+    kept = first.select("doc_id", "text_key", F.lit(False).alias("alone")).union(
+        grouped.where("component IS NULL").select("doc_id", "text_key", F.lit(True)).distinct()
+    )
+    kept = kept.select(F.col("doc_id").alias(other_id), F.col("text_key").alias(other_key), F.col("alone").alias(salt))
+    rows = docs.withColumn(key, text_key()).join(
+        kept, F.col("doc_id").cast("long").eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key))
+    )
+    rows = rows.withColumn(salt, F.when(F.col(salt), F.monotonically_increasing_id()))
+    return rows.dropDuplicates([other_id, other_key, salt]).select(*docs.columns)

@@ -15,14 +15,15 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listora.llm.arrow_batches import pieces
-from listora.llm.distinct_texts import dealt_texts, merged_copies, text_key, total_bytes
+from listora.llm.distinct_texts import dealt_texts, fresh_names, merged_copies, text_key, total_bytes
 from listora.llm.hashing import whole_windows, windows, words
 from listora.llm.key_counts import pack, pack_keys, unpack, unpack_keys
 
@@ -233,6 +234,13 @@ def repeated_spans(docs: DataFrame, batch_bytes: int = BATCH_BYTES, bucket_hashe
     )
 
 
+def _removal(doc_id: Column) -> tuple[Column, Column]:
+    """Is a row a later copy of a whole text, and does it keep all words, by columns least and n_words of its text?"""
+    later = F.coalesce(doc_id > F.col("least"), F.lit(False))
+    copy = later & (F.col("n_words") >= WINDOW)
+    return copy, doc_id.isNull() | later & ~copy
+
+
 def repeated_words(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by one space) of every document, and the spans removed.
 
@@ -245,14 +253,55 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = repeated_spans(docs).withColumnRenamed("doc_id", "least")
-    copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
+    copy, untouched = _removal(F.col("doc_id"))
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")))
-    untouched = F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least"))
     return docs.select("doc_id", text_key().alias("key")).join(found, "key").select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).when(untouched, 0).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(copy, F.sha2(F.lit(""), 256)).when(untouched, F.col("all_sha256")).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
         F.when(copy, whole).when(untouched, F.slice("spans", 1, 0)).otherwise(F.col("spans")).alias("spans"),
-        "key",
     )
+
+
+def _cut(column: str, spans: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, column):
+                texts = piece.column(column).to_pylist()
+                for i, found in enumerate(piece.column(spans).to_pylist()):
+                    if found:
+                        kept, at, every = [], 0, texts[i].encode().split()
+                        for span in found:
+                            kept += every[at : span["first"]]
+                            at = span["end"]
+                        texts[i] = b" ".join(kept + every[at:]).decode()
+                place = piece.schema.get_field_index(column)
+                yield piece.set_column(place, piece.schema.field(place), pa.array(texts, piece.schema.field(place).type))
+
+    return run
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` less the words that `repeated_words` removes, and less the rows that lose all their words.
+
+    A text that loses words is its kept words joined by one space, and n_chars, where there is such a column, is its new
+    length. All other texts and columns stay as they are.
+    """
+    key, spans, of_key = fresh_names(docs, "text_key", "gone", "of_key")
+    found = repeated_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
+        F.col("key").alias(of_key),
+        F.struct(F.col("doc_id").alias("least"), "n_words", "n_removed", "spans").alias(spans),
+    )
+    rows = docs.withColumn(key, text_key()).join(found, F.col(key) == F.col(of_key)).drop(key, of_key)
+    told = F.col(spans)
+    later = F.coalesce(F.col("doc_id").cast("long") > told["least"], F.lit(False))
+    copy = later & (told["n_words"] >= WINDOW)
+    own = ~later & F.col("doc_id").isNotNull()
+    all_gone = copy | own & (told["n_removed"] > 0) & (told["n_removed"] == told["n_words"])
+    rows = rows.where(~all_gone).withColumn(spans, F.when(own, told["spans"]))
+    cut = rows.mapInArrow(_cut("text", spans), rows.schema).drop(spans)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), "n_chars"))
+    return cut
