@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,9 +26,13 @@ from listora.llm.arrow_batches import pieces
 LONGEST = 4096
 REMEMBERED = 300_000  # words a worker remembers
 
-# ASCII signs that are a pre-token of their own after a letter or digit; the apostrophe is not among them, since
-# contractions are split in another way.
-_SIGNS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+# Where a letter or digit of Basic Latin, or a letter up to U+024F (all of them but the two signs among them), meets an
+# ASCII sign, a pre-token ends. The apostrophe is left out, since contractions are split in another way.
+_SIGNS = re.escape(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
+_BORDER = re.compile(
+    rb"[" + _SIGNS + rb"](?:(?<=[a-zA-Z0-9].)|(?<=[\xc3-\xc9][\x80-\xbf].)(?<!\xc3\x97.)(?<!\xc3\xb7.))", re.DOTALL
+)
+_SPECIAL = b"<|"  # strings of special tokens begin with it
 _LATIN_END = "\u0250"  # below it letters are composed, and no case change adds characters but for the dotted capital I
 
 
@@ -45,10 +50,10 @@ class WordIds(dict):
     """Token ids of words, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and no pre-token, and no composed character, spans any, so a text's ids are those of
-    its words one after the other. Words are folded where the tokenizer folds, and signs at a word's end are pre-tokens of
-    their own, so that fewer distinct words have to be merged. Words a batch does not know are encoded together, plain
-    Latin letters straight by the library's merge model. What a worker remembers is bounded; what it has used since the
-    bound was last reached stays.
+    its words one after the other. Texts are folded where the tokenizer folds, and signs after a letter or digit are taken
+    as words of their own, as the tokenizer does, so that fewer distinct words have to be merged. Words a batch does not
+    know are encoded together, plain Latin letters straight by the library's merge model. What a worker remembers is
+    bounded; what it has used since the bound was last reached stays.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -82,14 +87,11 @@ class WordIds(dict):
         found.update(zip(others, self._whole(others), strict=True))
         return found
 
-    def _parts(self, word: bytes) -> list[bytes]:
-        """The word itself, or its letters and the signs at its end where the tokenizer splits there."""
-        if b"'" in word or b"<|" in word:
-            return [word]
-        core = word.rstrip(_SIGNS)
-        if core and len(core) < len(word) and (core[-1:].isalnum() or _is_latin_letter(core)):
-            return [core.lower() if self.folds else core, word[len(core) :]]
-        return [word.lower() if self.folds else word]
+    def words(self, text: str) -> list[bytes]:
+        data = text.encode()
+        if _SPECIAL in data:
+            return data.split()
+        return _BORDER.sub(rb" \g<0>", data.lower() if self.folds else data).split()
 
     def learn(self, words: set[bytes]) -> None:
         """Makes all these words known."""
@@ -97,21 +99,11 @@ class WordIds(dict):
             self.before = dict(self)
             self.clear()
         new = words - self.keys()
-        for word in new & self.before.keys():
-            self[word] = self.before[word]
-        parts = {word: self._parts(word) for word in new - self.keys()}
-        open_parts = {part for found in parts.values() for part in found} - self.keys()
-        for part in open_parts & self.before.keys():
-            self[part] = self.before[part]
-        self.update(self._ids(list(open_parts - self.keys())))
-        for word, found in parts.items():
-            if found != [word]:
-                self[word] = b"".join(map(self.__getitem__, found))
-
-
-def _is_latin_letter(core: bytes) -> bool:
-    last = core[-2:].decode("utf-8", "ignore")[-1:]
-    return bool(last) and last.isalpha() and last < _LATIN_END
+        if self.before:
+            again = new & self.before.keys()
+            self.update((word, self.before[word]) for word in again)
+            new -= again
+        self.update(self._ids(list(new)))
 
 
 @functools.lru_cache(maxsize=4)
@@ -133,7 +125,7 @@ def _packed(tokenizer_file: str, end_id: int, longest: int, with_ids: bool):
         known = _word_ids(tokenizer_file)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                docs = [(text.as_py() or "").encode().split() for text in piece.column("text")]
+                docs = [known.words(text.as_py() or "") for text in piece.column("text")]
                 known.learn(set().union(*docs))
                 out: list[tuple] = []
                 for doc_id, found in zip(piece.column("doc_id").to_pylist(), docs, strict=True):
