@@ -141,16 +141,20 @@ def _alike(batches: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+def _rest_pairs(members: DataFrame, first: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs across groups that step 1 has not looked at, by sketch, block by block."""
-    named = members.join(groups, F.col("class") == F.col("node"), "left").select(
-        "key", "band", "class", F.coalesce("component", "class").alias("group")
+    named = (
+        members.join(groups, F.col("class") == F.col("node"), "left").join(first, F.col("class") == F.col("b"), "left")
+        .select("key", "band", "class", F.coalesce("component", "class").alias("group"), (F.col("a") == F.col("least")).alias("seen"))
     )
-    sizes = named.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    sizes = named.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"), F.max("seen").alias("seen"))
     buckets = (
         sizes.groupBy("key")
-        .agg(F.max(F.struct("n", "group")).alias("main"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_groups"))
-        .where("n_groups > 1 AND total > 2")  # the only pair of a bucket of two was looked at in step 1
+        .agg(
+            F.max(F.struct("n", "group")).alias("main"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_groups"),
+            F.coalesce(F.max("seen"), F.lit(False)).alias("seen"),
+        )
+        .where("n_groups > 1 AND (total > 2 OR NOT seen)")  # a bucket of two is done if step 1 has looked at its pair
         .select(
             F.col("key"),
             F.col("main.group").alias("main"),
@@ -217,7 +221,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     first = members.groupBy(F.col("class").alias("b")).agg(F.min("least").alias("a")).where("a != b")
     links = write_out(_verify(first, sets, percent), "links")
     groups = components(links)
-    rest = _verify(_rest_pairs(members, classes, groups), sets, percent)
+    rest = _verify(_rest_pairs(members, first, classes, groups), sets, percent)
     grouped = components(links.union(rest))
     labelled = classes.join(grouped, F.col("class") == F.col("node"), "left").select(
         "class", "doc_id", "copies", F.coalesce("component", "class").alias("component")
