@@ -12,7 +12,7 @@ import numpy as np
 
 from listora.llm.hashing import mixed
 
-_ELEMENTS = 1 << 16
+_CELLS = 1 << 23  # elements taken at once, times slots
 _STEP = 0xD1B54A32D192ED03
 
 
@@ -24,8 +24,9 @@ def signatures(elements: np.ndarray, first: np.ndarray, slots: int) -> np.ndarra
     sets = len(first) - 1
     kept = np.full((sets, slots), np.inf)
     owners = np.repeat(np.arange(sets), np.diff(first))
-    for low in range(0, len(elements), _ELEMENTS):
-        _take_in(kept, elements[low : low + _ELEMENTS], owners[low : low + _ELEMENTS], slots)
+    at_once = max(1, _CELLS // slots)
+    for low in range(0, len(elements), at_once):
+        _take_in(kept, elements[low : low + at_once], owners[low : low + at_once], slots)
     return kept
 
 
@@ -50,6 +51,6 @@ def _take_in(kept: np.ndarray, elements: np.ndarray, owners: np.ndarray, slots:
         np.minimum.at(flat, own * slots + slot, step + fraction)
 
 
-def sketches(kept: np.ndarray) -> np.ndarray:
-    """Each slot's value in 16 bits, for a first look at pairs."""
-    return (mixed(kept.view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+def sketches(kept: np.ndarray, kind: type = np.uint16) -> np.ndarray:
+    """Each slot's value in 16 (or 8) bits, for a first look at pairs; equal values stay equal."""
+    return (mixed(kept.view(np.uint64)) >> np.uint64(64 - 8 * np.dtype(kind).itemsize)).astype(kind)

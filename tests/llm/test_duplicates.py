@@ -114,7 +114,7 @@ def test_signature_does_not_depend_on_blocks(monkeypatch):
     elements = np.random.default_rng(1).integers(1 << 63, size=5000, dtype=np.uint64)
     first = np.array([0, 3, 3, 700, 5000])
     whole = signatures(elements, first, 64)
-    monkeypatch.setattr(superminhash, "_ELEMENTS", 100)
+    monkeypatch.setattr(superminhash, "_CELLS", 6400)
     assert (whole == signatures(elements, first, 64)).all()
     assert np.isinf(whole[1]).all()
 
