@@ -75,13 +75,20 @@ aggregate(split(key, ''), named_struct('m1', 0L, 'm2', 0L, 'm3', 0L),
     'm1', m.m1 | shiftleft(1L, ascii(c) % 64),
     'm2', m.m2 | (m.m1 & shiftleft(1L, ascii(c) % 64)),
     'm3', m.m3 | (m.m2 & shiftleft(1L, ascii(c) % 64))))"""
-_TEXT = ["block", "ord", "key", "counts"]
 
 
 def _with_counts(texts: DataFrame) -> DataFrame:
     return texts.select("block", "ord", "key", F.expr(_COUNTED).alias("counts"))
 
 
+def _looks(side: str) -> list[Column]:
+    """What is told of a text before the text itself is fetched."""
+    return [
+        F.col("block").alias(f"{side}_block"), F.col("ord").alias(f"{side}_ord"),
+        F.length("key").alias(f"{side}_size"), F.col("counts").alias(f"{side}_counts"),
+    ]
+
+
 def _differing_counts() -> Column:
     return sum(
         F.bit_count(F.col(f"a_counts.{m}").bitwiseXOR(F.col(f"b_counts.{m}")))
@@ -154,16 +161,35 @@ def _near_segments(texts: DataFrame, threshold: float, longest: str, role: int)
     )
 
 
+def _rare_characters(texts: DataFrame, threshold: float) -> DataFrame:
+    """Prefix filter over characters, for thresholds that segments do not cover.
+
+    Texts that are alike share at least t / (200 - t) of the characters of either,
+    counted with repetition. In any one order of (character, how often so far),
+    two such texts then share one of the first |a| - that + 1 of each. The order
+    here has later repetitions first, as fewer texts have them.
+    """
+    t = scaled(threshold)
+    return texts.sparkSession.sql(
+        f"""
+        SELECT block, ord, key, counts, xxhash64(block, one.repeated, one.character) AS signature
+        FROM (SELECT *, array_sort(transform(sequence(1, length(key)), i -> named_struct(
+                'repeated', length(replace(substr(key, 1, i), substr(key, i, 1), '')) - i,
+                'character', substr(key, i, 1)))) AS characters,
+              ceil(CAST(length(key) AS BIGINT) * {t} / {200 * SCALE - t}) AS shared
+            FROM {{texts}})
+        LATERAL VIEW explode(slice(characters, 1, CAST(length(key) - shared + 1 AS INT))) AS one""",
+        texts=texts,
+    )
+
+
 def _signatures(earlier: DataFrame, later: DataFrame, threshold: float):
     """Both sides keyed by what a segment of the one shares with a piece of the
     other. Equal keys of different segments only cost a candidate: every pair is
     verified afterwards."""
     if not segmentable(threshold):
-        # too many edits allowed for a segment to survive: the block is the key
-        def whole(df: DataFrame) -> DataFrame:
-            return df.select(*_TEXT, F.xxhash64("block").alias("signature"))
-
-        return whole(earlier), whole(later)
+        # too many edits allowed for a segment to survive
+        return _rare_characters(earlier, threshold), _rare_characters(later, threshold)
     # the shorter text is the one cut up; texts of one length meet only once
     left = _own_segments(earlier, threshold, 0).unionAll(
         _near_segments(earlier, threshold, "size - 1", 1)
@@ -180,32 +206,38 @@ def similar_pairs(earlier: DataFrame, later: DataFrame, threshold: float) -> Dat
     Both inputs hold (block, ord, key), keys not empty and distinct per block.
     Character counts rule out most candidates. Edit distance then brackets the
     number of insertions and deletions from below and above, which settles most
-    of the rest inside the JVM; only pairs in between are scored exactly. A pair meeting on several segments comes out
-    several times.
+    of the rest inside the JVM; only pairs in between are scored exactly. A pair that
+    meets on several segments is looked at once.
     """
     left, right = _signatures(_with_counts(earlier), _with_counts(later), threshold)
-    a = left.select("signature", *(F.col(c).alias(f"a_{c}") for c in _TEXT))
-    b = right.select("signature", *(F.col(c).alias(f"b_{c}") for c in _TEXT))
-    pairs = a.join(b, "signature").filter(
-        (F.col("a_block") == F.col("b_block")) & (F.col("a_ord") < F.col("b_ord"))
+    # texts stay behind: pieces travel with their row, its length and counts only
+    a = left.select("signature", *_looks("a"))
+    b = right.select("signature", *_looks("b"))
+    limit = allowed_edits(F.col("a_size") + F.col("b_size"), threshold)
+    met = a.join(b, "signature").filter(
+        (F.col("a_block") == F.col("b_block"))
+        & (F.col("a_ord") < F.col("b_ord"))
+        & (F.abs(F.col("a_size") - F.col("b_size")) <= limit)
+        & (_differing_counts() <= limit)
     )
+    met = met.select(F.col("a_block").alias("block"), "a_ord", "b_ord").distinct()
+    a_text = earlier.select("block", F.col("ord").alias("a_ord"), F.col("key").alias("a_key"))
+    b_text = later.select("block", F.col("ord").alias("b_ord"), F.col("key").alias("b_key"))
+    pairs = met.join(a_text, ["block", "a_ord"]).join(b_text, ["block", "b_ord"])
     sizes = F.length("a_key") + F.length("b_key")
     gap = F.abs(F.length("a_key") - F.length("b_key"))
-    limit = allowed_edits(sizes, threshold)
     distance = F.call_function(
         "levenshtein", F.col("a_key"), F.col("b_key"), F.col("limit").cast("int")
     )
-    pairs = pairs.withColumn("limit", limit).withColumn(
-        "distance", F.when(_differing_counts() <= F.col("limit"), distance).otherwise(-1)
-    )
-    pairs = pairs.filter((F.col("distance") >= 0) & (gap <= F.col("limit")))
+    pairs = pairs.withColumn("limit", allowed_edits(sizes, threshold))
+    pairs = pairs.withColumn("distance", distance).filter(F.col("distance") >= 0)
     unsure = 2 * F.col("distance") - gap > F.col("limit")
     pairs = pairs.withColumn(
         "lcs", lcs_length(F.when(unsure, F.col("a_key")), F.when(unsure, F.col("b_key")))
     )
     alike = F.col("lcs").isNull() | (sizes - 2 * F.col("lcs") <= F.col("limit"))
     return pairs.filter(alike).select(
-        F.col("a_block").alias("block"), F.col("a_ord").alias("src"), F.col("b_ord").alias("dst")
+        "block", F.col("a_ord").alias("src"), F.col("b_ord").alias("dst")
     )
 
 

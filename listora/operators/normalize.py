@@ -30,6 +30,8 @@ def rename_columns(df: DataFrame) -> DataFrame:
 def to_boolean(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         known = c
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        known = (c != 0) & ~F.isnan(c)
     elif isinstance(dtype, T.NumericType):
         known = c != 0
     else:
@@ -54,7 +56,9 @@ def to_time(c: Column, dtype: T.DataType, formats: tuple[str, ...] = ()) -> Colu
     return F.coalesce(*tries)
 
 
-def to_text(c: Column) -> Column:
+def to_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = F.when(~F.isnan(c), c)
     text = trim_ws(c.cast("string"))
     return F.when(~text.isin(*MISSING_WORDS), text)
 
@@ -70,7 +74,7 @@ def coerce_types(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
         elif field.name == TIMESTAMP_COLUMN:
             typed[field.name] = to_time(c, field.dataType, settings.timestamp_formats)
         elif field.name in TRIMMED_COLUMNS:
-            typed[field.name] = to_text(c)
+            typed[field.name] = to_text(c, field.dataType)
     return df.withColumns(typed)
 
 

@@ -139,9 +139,14 @@ def leaders(df: DataFrame, column: str | Column, alias: str, limit: int = LEADER
     )
 
 
+_HOST = r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@\s]+)"
+_BARE_HOST = r"^\s*([^/?#:@\s]+\.[^/?#:@\s]+)(?:[/?#:]|\s*$)"
+
+
 def domain(url: Column) -> Column:
-    """Host name in lower case, without a leading ``www.``"""
-    return F.regexp_replace(F.lower(F.try_parse_url(url, F.lit("HOST"))), r"^www\.", "")
+    """Host name in lower case, without a leading ``www.``; the scheme may be missing."""
+    host = F.coalesce(F.nullif(F.regexp_extract(url, _HOST, 1), F.lit("")), F.regexp_extract(url, _BARE_HOST, 1))
+    return F.nullif(F.regexp_replace(F.lower(host), r"^www\.", ""), F.lit(""))
 
 
 def top_domains(df: DataFrame, column: str = "website", limit: int = LEADERS) -> DataFrame:

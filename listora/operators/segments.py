@@ -26,7 +26,6 @@ from listora.operators.prompts import (
 from listora.schema import ROW_ID
 from listora.settings import Settings
 
-REPLY_EXCERPT = 300  # fixed value: characters kept of a reply that is no JSON
 LABEL_REPLY = "segment_name string, segment_description string"
 BRIEF_REPLY = (
     "priority_tier string, key_gaps array<string>, recommended_approach string, "
@@ -41,8 +40,15 @@ MAX_CENTROIDS = 10_000  # centroids are shipped to every task
 
 def fit_segments(df: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, KMeansModel]:
     """Add ``cluster_id`` by k-means over all rows. ``df`` is read once per
-    iteration: hand in a written table."""
+    iteration: hand in a written table.
+
+    Rows are dealt by their id and ordered in each part before the fit, so that
+    starting points and sums, and with them the segments, do not depend on how
+    the table came to be partitioned.
+    """
     matrix = feature_matrix(df, settings)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = matrix.select(ROW_ID, "features").repartition(parts, ROW_ID).sortWithinPartitions(ROW_ID)
     model = KMeans(
         k=settings.n_clusters,
         seed=settings.seed,
@@ -50,10 +56,20 @@ def fit_segments(df: DataFrame, settings: Settings = Settings()) -> tuple[DataFr
         initMode="k-means||",
         featuresCol="features",
         predictionCol="cluster_id",
-    ).fit(matrix.select("features"))
+    ).fit(dealt.select("features"))
     return model.transform(matrix).drop("features"), model
 
 
+def fit_metrics(model: KMeansModel, settings: Settings = Settings()) -> dict:
+    """How the fit went: cost, iterations, and whether it ended before their limit."""
+    summary = model.summary
+    return {
+        "inertia": summary.trainingCost,
+        "iterations": summary.numIter,
+        "converged": summary.numIter < settings.max_iterations,
+    }
+
+
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, as (cluster_id, centroid): one pre-aggregated
     shuffle on (group, dimension), whatever the size of a group."""
@@ -143,7 +159,7 @@ def stat_columns(stats: DataFrame) -> dict[str, Column]:
     return {c: F.col(c) for c in stats.columns if c != "cluster_id"}
 
 
-def sample_line(columns) -> Column:
+def sample_line(columns, snippet_length: int | None = None) -> Column:
     have = [F.col(c) for c in ("category_llm", "category_normalized") if c in columns]
     return F.concat(
         F.col("sample_no").cast("string"),
@@ -152,14 +168,14 @@ def sample_line(columns) -> Column:
         F.lit(" | category: "),
         F.coalesce(*have, F.lit("none")),
         F.lit(" | description: "),
-        snippet(columns),
+        snippet(columns, snippet_length),
     )
 
 
 def segment_requests(
     stats: DataFrame, samples: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    lines = samples.select("cluster_id", "sample_no", sample_line(samples.columns).alias("line"))
+    lines = samples.select("cluster_id", "sample_no", sample_line(samples.columns, settings.snippet_length).alias("line"))
     in_order = F.array_sort(F.collect_list(F.struct("sample_no", "line"))).getField("line")
     members = lines.groupBy("cluster_id").agg(F.array_join(in_order, "\n").alias("members"))
     asked = stats.join(members, "cluster_id", "left").select(
@@ -191,9 +207,7 @@ def parse_labels(replies: DataFrame) -> DataFrame:
     return replies.select(
         "cluster_id",
         F.when(usable, name).otherwise(number).alias("segment_name"),
-        F.when(usable, about)
-        .otherwise(F.substring("reply", 1, REPLY_EXCERPT))
-        .alias("segment_description"),
+        F.when(usable, about).otherwise(F.col("reply")).alias("segment_description"),
     )
 
 
@@ -223,7 +237,7 @@ def parse_briefs(replies: DataFrame) -> DataFrame:
         "cluster_id",
         part("priority_tier", F.lit(UNKNOWN_TIER)),
         part("key_gaps", F.array().cast("array<string>")),
-        part("recommended_approach", F.substring("reply", 1, REPLY_EXCERPT)),
+        part("recommended_approach", F.col("reply")),
         part("estimated_deal_rationale", F.lit("")),
     )
 

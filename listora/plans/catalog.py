@@ -14,7 +14,7 @@ from listora.operators import categories, clean, enrich, exchange, features, fuz
 from listora.operators import normalize, profile, segments
 from listora.plans import runs
 from listora.plans.fixture import cleaned_listings, listings, replies_by_rule, table, typed_listings
-from listora.plans.oracle_blocks import NO_ID, compose, guard, lcs, settle
+from listora.plans.oracle_blocks import NO_ID, compose, guard, has, lcs, settle
 from listora.session import prepare, scratch_path, write_out
 from listora.settings import Settings
 from listora.sources import files, sinks
@@ -370,7 +370,7 @@ feature_query(
 SELECT row_id, substr(coalesce(description, ''), 1, 150) AS snippet FROM l_clean""")
 def desc_snippet(spark, sf_dir):
     df = cleaned_listings(spark, sf_dir)
-    return df.select("row_id", categories.snippet(df.columns).alias("snippet"))
+    return df.select("row_id", categories.snippet(df.columns, categories.SNIPPET_LENGTH).alias("snippet"))
 
 
 @query("distinct_categories", "SELECT category_normalized, snippet, n_rows FROM cat_clean_distinct")
@@ -637,17 +637,14 @@ def segment_report(spark, sf_dir):
 
 @query("profile_counts", """
 SELECT count(*) AS total_rows, count(DISTINCT city) AS unique_cities, count(DISTINCT category) AS unique_categories,
-  0::BIGINT AS unique_countries, count(DISTINCT place_id) AS unique_place_ids FROM l_typed""")
+  count(DISTINCT country_name) AS unique_countries, count(DISTINCT place_id) AS unique_place_ids FROM l_typed""")
 def profile_counts(spark, sf_dir):
     return profile.profile_counts(typed_listings(spark, sf_dir))
 
 
-@query("profile_coverage", f"""
-SELECT {settle('100 * avg((coalesce(trim(website) <> \'\', false))::INT)', 1)} AS website_pct,
-  {settle('100 * avg((coalesce(trim(facebook) <> \'\', false))::INT)', 1)} AS facebook_pct, 0.0::DOUBLE AS instagram_pct,
-  {settle('100 * avg((coalesce(trim(phone) <> \'\', false))::INT)', 1)} AS phone_pct,
-  {settle('100 * avg((coalesce(trim(email) <> \'\', false))::INT)', 1)} AS email_pct, 0.0::DOUBLE AS booking_link_pct
-FROM l_typed""")
+@query("profile_coverage", "SELECT " + ", ".join(
+    f"{settle(f'100 * avg(({has(c)})::INT)', 1)} AS {c}_pct"
+    for c in ("website", "facebook", "instagram", "phone", "email", "booking_link")) + " FROM l_typed")
 def profile_coverage(spark, sf_dir):
     return profile.profile_coverage(typed_listings(spark, sf_dir))
 
@@ -683,9 +680,11 @@ def top_cities(spark, sf_dir):
 
 
 def domains_sql(source: str, column: str) -> str:
-    host = f"regexp_replace(lower(regexp_extract({column}, '^[A-Za-z]+://([^/?#:]+)', 1)), '^www\\.', '')"
+    named = f"nullif(regexp_extract({column}, '^\\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@\\s]+)', 1), '')"
+    bare = f"regexp_extract({column}, '^\\s*([^/?#:@\\s]+\\.[^/?#:@\\s]+)(?:[/?#:]|\\s*$)', 1)"
+    host = f"regexp_replace(lower(coalesce({named}, {bare})), '^www\\.', '')"
     return f"""
-SELECT {host} AS domain, count(*) AS n_rows FROM {source} WHERE {column} IS NOT NULL
+SELECT nullif({host}, '') AS domain, count(*) AS n_rows FROM {source} WHERE nullif({host}, '') IS NOT NULL
 GROUP BY 1 ORDER BY n_rows DESC, domain LIMIT 15"""
 
 
@@ -725,6 +724,16 @@ def run_offline_segmented(spark, sf_dir):
     return done.select("row_id", "name", "category_llm", "cluster_id")
 
 
+@query("open_requests", f"""
+SELECT key, '{S.bulk_model}' AS model, prompt FROM cat_resolved WHERE key < '2'
+UNION ALL SELECT key, '{S.reasoning_model}', prompt FROM g_resolved_ask WHERE key < '2'
+UNION ALL SELECT key, '{S.reasoning_model}', prompt FROM g_resolved_brief WHERE key < '2'""")
+def open_requests(spark, sf_dir):
+    """Requests of a run that have no usable reply yet."""
+    done = runs.with_responses(typed_listings(spark, sf_dir), replies_by_rule, assign=by_tier)
+    return done.requests.select("key", "model", "prompt")
+
+
 @query("run_with_responses", """
 SELECT row_id, category_llm, cluster_id, segment_name, segment_description,
   priority_tier AS marketing_priority_tier, recommended_approach AS marketing_recommended_approach

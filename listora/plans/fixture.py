@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from listora.operators.clean import clean
 from listora.operators.normalize import coerce_types
-from listora.session import prepare, spread
+from listora.session import prepare
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -25,7 +25,7 @@ SELECT e.event_id AS row_id,
  CASE e.event_id % 5 WHEN 0 THEN '+49 30 ' || CAST(1000000 + e.user_id AS STRING) WHEN 1 THEN '030/' || CAST(1000000 + e.user_id AS STRING)
    WHEN 2 THEN '0049 (30) ' || CAST(1000000 + e.user_id AS STRING) WHEN 3 THEN 'call us' ELSE NULL END AS phone,
  CASE WHEN e.event_id % 5 = 0 THEN '' WHEN e.event_id % 7 = 0 THEN 'not-an-email' ELSE ' ' || e.event_type || CAST(e.user_id AS STRING) || '@Example.com' END AS email,
- CASE WHEN e.event_id % 3 = 0 THEN NULL WHEN e.event_id % 41 = 0 THEN 'nan' ELSE 'https://www.site' || CAST(e.user_id % 17 AS STRING) || '.example.de/p?x=1' END AS website,
+ CASE WHEN e.event_id % 3 = 0 THEN NULL WHEN e.event_id % 41 = 0 THEN 'nan' WHEN e.event_id % 7 = 0 THEN 'www.site' || CAST(e.user_id % 17 AS STRING) || '.example.de/p' WHEN e.event_id % 8 = 0 THEN 'http://my_shop' || CAST(e.user_id % 3 AS STRING) || '.example.de:8080' ELSE 'https://www.site' || CAST(e.user_id % 17 AS STRING) || '.example.de/p?x=1' END AS website,
  CASE WHEN e.event_id % 4 = 0 THEN '' ELSE 'Offers ' || e.event_type || ' in ' || n.n_name END AS description,
  CASE WHEN e.event_id % 9 = 0 THEN '$$$$$' WHEN e.event_id % 8 = 0 THEN '' ELSE '$$' END AS price,
  CASE e.event_id % 6 WHEN 0 THEN '{{"mon": "9-17", "tue": "", "wed": "9-17", "thu": null, "fri": 0, "sat": [], "sun": "0"}}' WHEN 1 THEN '["mon","tue"]'
@@ -37,10 +37,13 @@ SELECT e.event_id AS row_id,
  CASE WHEN e.event_id % 20 IN (0, 7) THEN '' ELSE 'P' || CAST(e.user_id AS STRING) END AS place_id,
  CASE WHEN e.event_id % 10 = 0 THEN NULL ELSE 'C' || CAST(e.user_id % 60 AS STRING) END AS cid,
  CASE WHEN e.event_id % 4 < 2 THEN 'https://facebook.com/' || e.event_type ELSE NULL END AS facebook,
+ CASE e.event_id % 5 WHEN 0 THEN 'https://instagram.com/' || e.event_type WHEN 1 THEN '  ' WHEN 2 THEN 'NaN' WHEN 3 THEN '@' || c.c_name ELSE NULL END AS instagram,
+ CASE e.event_id % 7 WHEN 0 THEN 'https://book.example.com/' || CAST(e.user_id AS STRING) WHEN 1 THEN '' ELSE NULL END AS booking_link,
+ CASE WHEN e.event_id % 23 = 0 THEN NULL ELSE n.n_name || ' (' || r.r_name || ')' END AS country_name,
  CASE WHEN e.event_id % 2 = 0 THEN '' ELSE 'https://img.example.com/' || e.event_type || '.jpg' END AS main_image_url,
  CAST(e.event_id % 40 AS DOUBLE) AS images_count,
  e.ts AS collected_at
-FROM {events} e JOIN {customer} c ON c.c_custkey = e.user_id JOIN {nation} n ON n.n_nationkey = c.c_nationkey JOIN {region} r ON r.r_regionkey = n.n_regionkey
+FROM {events} e LEFT JOIN {customer} c ON c.c_custkey = e.user_id LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey
 """
 
 
@@ -58,7 +61,7 @@ def listings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     """Raw listings. ``events`` may be a stream; the other tables are static."""
     prepare(spark)
     sources = {
-        "events": events if events is not None else spread(table(spark, sf_dir, "events")),
+        "events": events if events is not None else table(spark, sf_dir, "events"),
         **{t: table(spark, sf_dir, t) for t in ("customer", "nation", "region")},
     }
     return spark.sql(LISTING_SQL, **sources)

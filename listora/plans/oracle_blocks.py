@@ -70,7 +70,7 @@ FROM l_raw""")
 
 block("l_clean", r"""
 SELECT q.* EXCLUDE (digits, dialled, address0),
-  CASE WHEN regexp_full_match(regexp_replace(dialled, '^490([0-9])', '49\1'), '[1-9][0-9]{6,14}')
+  CASE WHEN regexp_full_match(regexp_replace(dialled, '^490([0-9])', '49\1'), '49[0-9]{6,11}')
        THEN '+' || regexp_replace(dialled, '^490([0-9])', '49\1') END AS phone_normalized,
   CASE WHEN regexp_full_match(address0, '[^@\s]+@[^@\s]+\.[^@\s]+') THEN address0 END AS email_normalized,
   coalesce(regexp_full_match(address0, '[^@\s]+@[^@\s]+\.[^@\s]+'), false) AS email_syntax_valid,
@@ -200,7 +200,7 @@ SELECT *, has_facebook::INT + has_instagram::INT AS social_media_count,
 FROM (SELECT *,
   {has('website')} AS has_website, {has('email_normalized')} OR {has('email')} AS has_email,
   {has('phone_normalized')} OR {has('phone')} AS has_phone, {has('facebook')} AS has_facebook,
-  false AS has_instagram, false AS has_booking_link, {has('description')} AS has_description,
+  {has('instagram')} AS has_instagram, {has('booking_link')} AS has_booking_link, {has('description')} AS has_description,
   {has('main_image_url')} AS has_main_image,
   ({' + '.join(f'{has(c)}::INT' for c in 'name category street_address city zip_code phone email website description main_image_url'.split())}) / 10.0::DOUBLE AS completeness_score,
   CASE WHEN coalesce(trim(opening_hours), '') = '' THEN 0
@@ -230,7 +230,7 @@ def key_of(model: str, system: str) -> str:
 def category_requests(source: str, name: str) -> None:
     options = "".join(f"\n- {label}" for label in S.taxonomy)
     block(f"{name}_distinct", f"""
-SELECT category_normalized, substr(coalesce(description, ''), 1, 150) AS snippet, n_rows
+SELECT category_normalized, coalesce(description, '') AS snippet, n_rows
 FROM (SELECT *, count(*) OVER (PARTITION BY category_normalized) AS n_rows FROM {source}
       WHERE category_normalized IS NOT NULL)
 QUALIFY row_number() OVER (PARTITION BY category_normalized ORDER BY {PROCESSING}) = 1""")
@@ -298,14 +298,14 @@ SELECT *, {key_of(S.reasoning_model, prompts.SEGMENT_SYSTEM)} AS key FROM (
   FROM {name}_stats JOIN (
     SELECT cluster_id, string_agg(sample_no || '. ' || coalesce(name, '?') || ' | category: '
       || coalesce(category_llm, category_normalized, 'none') || ' | description: '
-      || substr(coalesce(description, ''), 1, 150), chr(10) ORDER BY sample_no) AS members
+      || coalesce(description, ''), chr(10) ORDER BY sample_no) AS members
     FROM {name}_samples GROUP BY cluster_id) USING (cluster_id))""")
     replies(f"{name}_ask")
     ok = "json_valid(reply) AND json_type(js) = 'OBJECT'"
     block(f"{name}_labels", f"""
 SELECT cluster_id,
   CASE WHEN usable THEN js->>'$.segment_name' ELSE 'Segment ' || cluster_id END AS segment_name,
-  CASE WHEN usable THEN js->>'$.segment_description' ELSE substr(reply, 1, 300) END AS segment_description
+  CASE WHEN usable THEN js->>'$.segment_description' ELSE reply END AS segment_description
 FROM (SELECT *, {ok} AND js->>'$.segment_name' IS NOT NULL AND js->>'$.segment_description' IS NOT NULL AS usable
   FROM (SELECT *, CASE WHEN json_valid(reply) THEN reply ELSE '0' END::JSON AS js FROM {name}_ask_replies))""")
     block(f"{name}_brief", f"""
@@ -318,7 +318,7 @@ SELECT *, {key_of(S.reasoning_model, prompts.BRIEF_SYSTEM)} AS key FROM (
 SELECT cluster_id,
   CASE WHEN {ok} THEN js->>'$.priority_tier' ELSE 'Unknown' END AS priority_tier,
   CASE WHEN {ok} THEN array_to_string(CAST(js->'$.key_gaps' AS VARCHAR[]), ', ') ELSE '' END AS key_gaps,
-  CASE WHEN {ok} THEN js->>'$.recommended_approach' ELSE substr(reply, 1, 300) END AS recommended_approach,
+  CASE WHEN {ok} THEN js->>'$.recommended_approach' ELSE reply END AS recommended_approach,
   CASE WHEN {ok} THEN js->>'$.estimated_deal_rationale' ELSE '' END AS estimated_deal_rationale
 FROM (SELECT *, CASE WHEN json_valid(reply) THEN reply ELSE '0' END::JSON AS js FROM {name}_brief_replies)""")
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from listora.operators import categories, segments
+from listora.operators import categories, exchange, prompts, segments
 from listora.operators.clean import clean
 from listora.operators.enrich import enrich
 from listora.operators.fuzzy import dedup_fuzzy, resolve_entities
 from listora.operators.identity import dedup_exact
-from listora.session import row_count, write_out, write_out_with
+from listora.session import prepare, row_count, write_out, write_out_with
 from listora.settings import Settings
 from listora.sources.sinks import metrics_table, segment_report
 
@@ -22,6 +24,7 @@ Assign = Callable[[DataFrame], DataFrame]
 
 def prepared(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Cleaned, resolved and enriched listings."""
+    prepare(df.sparkSession)
     return enrich(resolve_entities(clean(df, settings), settings), settings)
 
 
@@ -37,13 +40,16 @@ def offline_segmented(df: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def stage_counts(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows going into and coming out of each stage that drops rows. The counts
-    ride along with the tables the stages write anyway."""
-    raw, n_raw = write_out_with(df, "raw", row_count())
-    cleaned, n_cleaned = write_out_with(clean(raw, settings), "cleaned", row_count())
+    ride along with the one table that the stages need written."""
+    prepare(df.sparkSession)
+    seen, kept, resolved = Observation(), Observation(), Observation()
+    count = row_count().alias("n")
+    cleaned = clean(df.observe(seen, count), settings).observe(kept, count)
     exact, n_exact = write_out_with(dedup_exact(cleaned), "exact", row_count())
-    _, n_fuzzy = write_out_with(
-        dedup_fuzzy(exact, settings.block_by, settings.fuzzy_threshold), "resolved", row_count()
-    )
+    n_raw, n_cleaned = seen.get["n"], kept.get["n"]
+    fuzzy = dedup_fuzzy(exact, settings.block_by, settings.fuzzy_threshold)
+    fuzzy.observe(resolved, count).write.format("noop").mode("overwrite").save()
+    n_fuzzy = resolved.get["n"]
     return df.sparkSession.createDataFrame(
         [
             ("clean", n_raw, n_cleaned),
@@ -54,15 +60,31 @@ def stage_counts(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
+def segment_lines(labels: DataFrame, briefs: DataFrame) -> dict:
+    """Labels and briefs as metrics, one of each for a segment."""
+    rows = labels.join(briefs, "cluster_id", "left").select(
+        "cluster_id", F.to_json(F.struct(*(c for c in labels.columns + briefs.columns if c != "cluster_id"))).alias("told")
+    )
+    return {f"segment_{row.cluster_id}": row.told for row in rows.collect()}
+
+
 def stored(responses: DataFrame) -> Respond:
     """Answer from a response table: requests without one go unanswered."""
     return lambda requests: responses
 
 
+def open_requests(asked: DataFrame, answered: DataFrame, model: str, system: str) -> DataFrame:
+    """What has no usable reply yet, with all that is needed to answer it."""
+    return exchange.cache_misses(asked, answered).select(
+        "key", F.lit(model).alias("model"), F.lit(system).alias("system"), "prompt"
+    )
+
+
 @dataclass
 class Run:
     listings: DataFrame
-    requests: DataFrame
+    requests: DataFrame  # key, model, system, prompt of what is still to be answered
+    responses: DataFrame  # key, text, status of every usable reply: keep these for the next run
     stats: DataFrame
     labels: DataFrame
     briefs: DataFrame
@@ -83,39 +105,56 @@ def with_responses(
     ``requests``: answer those and run again.
     """
     spark = df.sparkSession
-    assign = assign or (
-        lambda table: segments.fit_segments(write_out(table, "categorised"), settings)[0]
-    )
+    fitted = {}
+
+    def by_k_means(table: DataFrame) -> DataFrame:
+        segmented, model = segments.fit_segments(write_out(table, "categorised"), settings)
+        fitted.update(segments.fit_metrics(model, settings))
+        return segmented
+
+    assign = assign or by_k_means
     listings = write_out(prepared(df, settings), "prepared")
 
     asked = write_out(categories.category_requests(listings, settings), "category-requests")
-    labelled = write_out(
-        categories.category_labels(asked, respond(asked), settings), "category-labels"
-    )
+    named = respond(asked)
+    labelled = write_out(categories.category_labels(asked, named, settings), "category-labels")
+    n_categories = categories.distinct_categories(listings, settings).count()
     listings = categories.apply_categories(listings, labelled, settings)
     listings, n_rows = write_out_with(assign(listings), "segmented", row_count())
 
     stats = write_out(segments.segment_stats(listings, settings), "stats")
     samples = segments.segment_samples(listings, settings)
     to_name = write_out(segments.segment_requests(stats, samples, settings), "segment-requests")
-    labels = write_out(segments.segment_labels(to_name, respond(to_name)), "segment-labels")
+    labelling = respond(to_name)
+    labels = write_out(segments.segment_labels(to_name, labelling), "segment-labels")
     to_brief = write_out(segments.brief_requests(stats, labels, settings), "brief-requests")
-    briefs = write_out(segments.segment_briefs(to_brief, respond(to_brief)), "briefs")
+    briefing = respond(to_brief)
+    briefs = write_out(segments.segment_briefs(to_brief, briefing), "briefs")
 
+    bulk, reasoning = settings.bulk_model, settings.reasoning_model
     requests = (
-        asked.select("key", "prompt")
-        .unionByName(to_name.select("key", "prompt"))
-        .unionByName(to_brief.select("key", "prompt"))
+        open_requests(asked, named, bulk, prompts.CATEGORY_SYSTEM)
+        .unionByName(open_requests(to_name, labelling, reasoning, prompts.SEGMENT_SYSTEM))
+        .unionByName(open_requests(to_brief, briefing, reasoning, prompts.BRIEF_SYSTEM))
     )
+    responses = exchange.usable(
+        functools.reduce(
+            DataFrame.unionByName, (x.select("key", "text", "status") for x in (named, labelling, briefing))
+        )
+    ).withColumn("status", F.lit(exchange.SUCCEEDED))
     finished = segments.apply_labels(listings, labels)
     finished = segments.apply_labels(finished, segments.brief_columns(briefs))
     metrics = metrics_table(
         spark,
         {
             "category_mapping_size": labelled.count(),
+            "categories_not_asked": n_categories - asked.count(),
             "rows": n_rows,
             "n_clusters": stats.count(),
+            "open_requests": requests.count(),
+            **fitted,
+            **segment_lines(labels, briefs),
         },
     )
     report = segment_report(stats, labels, briefs)
-    return Run(finished, requests, stats, labels, briefs, report, metrics)
+    return Run(finished, requests, responses, stats, labels, briefs, report, metrics)

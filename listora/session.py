@@ -30,16 +30,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than the cluster has slots, over all slots.
-
-    A large table has more splits than slots and is left alone; one small or
-    unsplittable file would otherwise keep a single task busy.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -44,7 +44,8 @@ class Settings:
     # category canonicalisation
     taxonomy: tuple[str, ...] = TAXONOMY
     fallback_label: str = FALLBACK_LABEL
-    max_category_requests: int = 20000
+    max_category_requests: int | None = None  # None: every category is asked
+    snippet_length: int | None = None  # characters of a description in a request; None: all
     bulk_model: str = "bulk"
     reasoning_model: str = "reasoning"
     # clustering

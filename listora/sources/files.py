@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,13 @@ from pyspark.sql import types as T
 
 from listora.operators.normalize import normalize, with_row_id
 from listora.schema import ROW_ID
-from listora.session import prepare, spread
+from listora.session import prepare
 from listora.settings import Settings
 
 # Every column is text; only an empty field is null. Quotes inside a field are
-# doubled.
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+# doubled. A file whose header differs from the columns expected is refused, as
+# its fields would land under the wrong names.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "enforceSchema": False}
 
 
 def text_schema(headers) -> T.StructType:
@@ -23,17 +25,25 @@ def text_schema(headers) -> T.StructType:
 
 def scan_csv(
     spark: SparkSession,
-    path: str,
-    headers: list[str] | None = None,
+    path: str | list[str],
+    headers: list[str] | list[list[str]] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """Text columns as they stand in the file. With ``headers`` given, nothing is
     read before the job itself.
 
+    Exports with several column orders: give a list of paths, each with files of
+    one layout (and a list of their headers). They are united by column name, and
+    a column that a layout lacks is null. Files of one path must have one header.
+
     Fields that span lines keep a file from being split, so each file is one
     task. Where no field holds a line break, ``multi_line=False`` lets Spark
     split large files.
     """
+    if not isinstance(path, str):
+        layouts = headers or [None] * len(path)
+        parts = [scan_csv(spark, p, h, multi_line) for p, h in zip(path, layouts, strict=True)]
+        return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     reader = prepare(spark).read.options(**CSV_OPTIONS, multiLine=multi_line)
     if headers:
         reader = reader.schema(text_schema(headers))
@@ -65,5 +75,6 @@ def load(
 ) -> DataFrame:
     """Scan, optionally cut to the first rows, and normalise."""
     df = with_row_id(scan(spark, path, multi_line))
-    df = head_n(df, rows) if rows else spread(df)
+    if rows:
+        df = df.limit(rows)  # the row number follows the scan, and so does a limit
     return normalize(df, settings)

@@ -77,7 +77,7 @@ def test_present(spark):
         ("+49 030 1234567", "+49301234567"), ("30 1234567", "+49301234567"),
         ("Tel. 030 1234567 ext. 12", "+49301234567"), ("+43 1 234567", "+431234567"),
         ("call us", None), ("12", None), (None, None), ("", None),
-        ("+49 123456789012345", None),
+        ("+49 123456789012345", None), ("12345", None), ("+1 555 0100", None), ("+1 (212) 555-0100", "+12125550100"),
     ],
 )
 def test_phone(spark, raw, wanted):

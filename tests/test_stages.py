@@ -1,9 +1,10 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from listora.operators import categories, exchange, features, profile, segments
+from listora.operators import categories, exchange, features, normalize, profile, segments
 from listora.operators.enrich import enrich
 from listora.plans import runs
 from listora.plans.catalog import by_tier, cluster_input
@@ -83,7 +84,7 @@ def test_replies_that_cannot_be_read(spark):
     assert got[0] == ("N", "D")
     assert all(got[i] == (f"Segment {i}", replies[i]) for i in range(1, len(replies)))
     long = spark.createDataFrame([(1, "x" * 400)], "cluster_id long, reply string")
-    assert segments.parse_labels(long).first().segment_description == "x" * 300
+    assert segments.parse_labels(long).first().segment_description == "x" * 400
 
 
 def test_briefs(spark):
@@ -162,9 +163,10 @@ def test_medians_are_exact(spark):
 
 def test_domains(spark):
     urls = ["https://WWW.A.de/x?y#z", "http://b.com:80/", "no url", None, "https://www.xn--die.de"]
+    urls += ["foo.de", "www.foo.de/x", "https://a_b.de/x", " http://u:p@c.de:8/", "localhost", "two words.de"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = [r.d for r in df.select(profile.domain(F.col("u")).alias("d")).collect()]
-    assert got == ["a.de", "b.com", None, None, "xn--die.de"]
+    assert got == ["a.de", "b.com", None, None, "xn--die.de", "foo.de", "foo.de", "a_b.de", "c.de", None, None]
 
 
 def test_csv_round_trip(spark):
@@ -245,3 +247,38 @@ def test_prompts_do_not_depend_on_partitioning(spark, sf_dir):
     assert keys[0] == keys[1] == keys[2]
 
 
+
+
+def test_nan_is_not_true(spark):
+    df = spark.createDataFrame([(float("nan"), float("nan")), (1.0, 0.0)], "is_temporarily_closed double, name double")
+    rows = normalize.coerce_types(df).collect()
+    assert [r.is_temporarily_closed for r in rows] == [False, True]
+    assert rows[0]["name"] is None
+
+
+def test_column_orders_do_not_mix(spark, tmp_path):
+    for name, text in (("a", "NAME,CITY\nx,Hamburg\n"), ("b", "CITY,NAME\nBerlin,y\n")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(text)
+    both = files.scan_csv(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert sorted(map(tuple, both.select("NAME", "CITY").collect())) == [("x", "Hamburg"), ("y", "Berlin")]
+    with pytest.raises(Exception, match="header"):
+        files.scan_csv(spark, f"{tmp_path}/b", ["NAME", "CITY"]).collect()
+
+
+def test_categories_left_out_keep_their_value(spark):
+    rows = [(i, f"C{i % 7}", "long text " * 60) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, category_normalized string, description string")
+    asked = categories.category_requests(df)
+    assert asked.count() == 7 and asked.first().snippet == "long text " * 60
+    few = Settings(max_category_requests=2)
+    labels = categories.category_labels(categories.category_requests(df, few), spark.createDataFrame([], "key string, text string, status string"))
+    got = {r.category_normalized: r.category_llm for r in categories.apply_categories(df, labels, few).collect()}
+    assert sum(value == "Other / Unclear" for value in got.values()) == 2
+    assert sum(value == name for name, value in got.items()) == 5
+    assert categories.category_requests(df.drop("category_normalized")).count() == 0
+
+
+def test_first_rows_follow_the_scan(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("NAME\n" + "".join(f"n{i}\n" for i in range(50)))
+    assert [r["name"] for r in files.load(spark, f"{tmp_path}/f.csv", rows=3).collect()] == ["n0", "n1", "n2"]
