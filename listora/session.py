@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python gets rows in batches of bounded size, however long their texts are
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # the JVM never compiles methods above 8000 bytes: with this limit Spark
     # splits such a stage up instead (about twice as fast on the wide stages)
     "spark.sql.codegen.hugeMethodLimit": "8000",
