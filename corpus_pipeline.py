@@ -17,26 +17,31 @@ LEAST_LANGUAGE_SCORE = 0.5  # a cosine of 0 with the best prototype
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without letters, or unlike every language seen, go."""
+    prepare(spark)
     return language_id.accepted(docs, LEAST_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.85 or more)."""
+    prepare(spark)
     return near_dedup.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the words of 13-word windows that a document with a smaller doc_id has; emptied documents go."""
+    prepare(spark)
     return substring_dedup.without_repeats(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    prepare(spark)
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length, each a sequence without padding."""
+    prepare(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096, with_ids=False)
 
 
