@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,13 +61,22 @@ def fit_segments(df: DataFrame, settings: Settings = Settings()) -> tuple[DataFr
     return model.transform(matrix).drop("features"), model
 
 
-def fit_metrics(model: KMeansModel, settings: Settings = Settings()) -> dict:
-    """How the fit went: cost, iterations, and whether it ended before their limit."""
-    summary = model.summary
+def fitted_centers(df: DataFrame, model: KMeansModel) -> DataFrame:
+    """The model's centres as (cluster_id, centroid)."""
+    rows = [(i, center.tolist()) for i, center in enumerate(model.clusterCenters())]
+    return df.sparkSession.createDataFrame(rows, "cluster_id long, centroid array<double>")
+
+
+def fit_metrics(df: DataFrame, model: KMeansModel, settings: Settings = Settings()) -> dict:
+    """How the fit went: the sum of squared distances of all rows to their final
+    centre, iterations, and whether the fit ended before their limit."""
+    vectors = feature_matrix(df, settings).select(vector_to_array("features").alias("vector"))
+    found = assign_nearest(vectors, "vector", fitted_centers(df, model))
+    iterations = model.summary.numIter
     return {
-        "inertia": summary.trainingCost,
-        "iterations": summary.numIter,
-        "converged": summary.numIter < settings.max_iterations,
+        "inertia": found.agg(F.sum("distance2")).first()[0],
+        "iterations": iterations,
+        "converged": iterations < settings.max_iterations,
     }
 
 

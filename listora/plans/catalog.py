@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listora.functions.numbers import settled
@@ -475,7 +475,18 @@ def map_distinct(spark, sf_dir):
     return encoded.select("doc_id", F.length("text").alias("n_text"), "n_words")
 
 
-@query("text_features")
+def norm(vector) -> Column:
+    """Length of a vector, settled to six digits."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
+    return F.round(F.sqrt(squares), 6)
+
+
+# Hashed terms cannot be told in SQL; that a vector has unit length, and none without words, can.
+HAS_WORDS = "regexp_matches(coalesce(category, '') || coalesce(description, ''), '[\\p{L}\\p{N}_]')"
+
+
+@query("text_features", f"""
+SELECT row_id, {S.text_dimensions} AS n_terms, CASE WHEN {HAS_WORDS} THEN 1.0 ELSE 0.0 END::DOUBLE AS length FROM l_clean""")
 def text_features(spark, sf_dir):
     df = write_out(
         cleaned_listings(spark, sf_dir).select(
@@ -483,8 +494,10 @@ def text_features(spark, sf_dir):
         ),
         "texts",
     )
-    vectors = features.text_vectors(df, "text")
-    return vectors.select("row_id", vector_to_array("text_vector").alias("text_vector"))
+    vector = vector_to_array("text_vector")
+    return features.text_vectors(df, "text").select(
+        "row_id", F.size(vector).alias("n_terms"), norm(vector).alias("length")
+    )
 
 
 @query("zscore_features", f"""
@@ -504,16 +517,62 @@ def cluster_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_out(enriched(spark, sf_dir).select(*CLUSTER_INPUT), "cluster-input")
 
 
-@query("feature_matrix")
+Z_SCORES = ", ".join(
+    f"""round((coalesce({f}, 0) - (SELECT avg(coalesce({f}, 0)) FROM e_clean))
+  / (SELECT CASE WHEN stddev_pop(coalesce({f}, 0)) = 0 THEN 1 ELSE stddev_pop(coalesce({f}, 0)) END FROM e_clean), 6) AS z_{f}"""
+    for f in S.numeric_features
+)
+
+
+@query("feature_matrix", f"""
+SELECT row_id, {S.text_dimensions + len(S.numeric_features)} AS n_features,
+  CASE WHEN {HAS_WORDS} THEN {S.text_weight} ELSE 0.0 END::DOUBLE AS text_length, {Z_SCORES} FROM e_clean""")
 def feature_matrix(spark, sf_dir):
     matrix = features.feature_matrix(cluster_input(spark, sf_dir))
-    return matrix.select("row_id", vector_to_array("features").alias("features"))
+    vector = vector_to_array("features")
+    return matrix.select(
+        "row_id",
+        F.size(vector).alias("n_features"),
+        norm(F.slice(vector, 1, S.text_dimensions)).alias("text_length"),
+        *(F.round(vector[S.text_dimensions + i], 6).alias(f"z_{f}") for i, f in enumerate(S.numeric_features)),
+    )
 
 
-@query("kmeans_fit")
+@query("kmeans_fit", "SELECT row_id, true AS at_nearest, true AS in_range FROM e_clean")
 def kmeans_fit(spark, sf_dir):
-    clustered, _ = segments.fit_segments(cluster_input(spark, sf_dir))
-    return clustered.select("row_id", "cluster_id")
+    """Each row with whether it stands in the segment of its nearest centre."""
+    rows = cluster_input(spark, sf_dir)
+    clustered, model = segments.fit_segments(rows)
+    centers = segments.fitted_centers(rows, model)
+    vectors = features.feature_matrix(rows).select("row_id", vector_to_array("features").alias("vector"))
+    best = segments.assign_nearest(vectors, "vector", centers).select("row_id", "vector", "distance2")
+    own = clustered.select("row_id", "cluster_id").join(centers, "cluster_id", "left").join(best, "row_id")
+    gaps = F.zip_with("vector", "centroid", lambda x, c: (x - c) * (x - c))
+    distance = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+    return own.select(
+        "row_id",
+        (F.abs(distance - F.col("distance2")) <= 1e-6 * (1 + F.col("distance2"))).alias("at_nearest"),
+        F.col("cluster_id").between(0, S.n_clusters - 1).alias("in_range"),
+    )
+
+
+@query("fit_metrics", """
+SELECT count(*) AS n_rows, true AS cost_is_sum_of_distances, true AS limit_is_told FROM e_clean""")
+def fit_metrics(spark, sf_dir):
+    """What a run is told of its fit, held against distances taken row by row."""
+    rows = cluster_input(spark, sf_dir)
+    clustered, model = segments.fit_segments(rows)
+    told = segments.fit_metrics(rows, model)
+    vectors = features.feature_matrix(rows).select("row_id", vector_to_array("features").alias("vector"))
+    own = clustered.select("row_id", "cluster_id").join(segments.fitted_centers(rows, model), "cluster_id")
+    gaps = F.zip_with("vector", "centroid", lambda x, c: (x - c) * (x - c))
+    cost = F.sum(F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x))
+    limit_is_told = told["converged"] == (model.summary.numIter < S.max_iterations)
+    return own.join(vectors, "row_id").agg(
+        F.count("*").alias("n_rows"),
+        (F.abs(cost - told["inertia"]) <= 1e-6 * cost).alias("cost_is_sum_of_distances"),
+        F.lit(limit_is_told).alias("limit_is_told"),
+    )
 
 
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -718,10 +777,12 @@ def run_offline(spark, sf_dir):
     )
 
 
-@query("run_offline_segmented")
+@query("run_offline_segmented", """
+SELECT row_id, name, category_normalized AS category_llm, true AS in_range FROM e_resolved""")
 def run_offline_segmented(spark, sf_dir):
     done = runs.offline_segmented(typed_listings(spark, sf_dir))
-    return done.select("row_id", "name", "category_llm", "cluster_id")
+    in_range = F.col("cluster_id").between(0, S.n_clusters - 1)
+    return done.select("row_id", "name", "category_llm", in_range.alias("in_range"))
 
 
 @query("open_requests", f"""

@@ -108,8 +108,9 @@ def with_responses(
     fitted = {}
 
     def by_k_means(table: DataFrame) -> DataFrame:
-        segmented, model = segments.fit_segments(write_out(table, "categorised"), settings)
-        fitted.update(segments.fit_metrics(model, settings))
+        table = write_out(table, "categorised")
+        segmented, model = segments.fit_segments(table, settings)
+        fitted.update(segments.fit_metrics(table, model, settings))
         return segmented
 
     assign = assign or by_k_means

@@ -282,3 +282,37 @@ def test_categories_left_out_keep_their_value(spark):
 def test_first_rows_follow_the_scan(spark, tmp_path):
     (tmp_path / "f.csv").write_text("NAME\n" + "".join(f"n{i}\n" for i in range(50)))
     assert [r["name"] for r in files.load(spark, f"{tmp_path}/f.csv", rows=3).collect()] == ["n0", "n1", "n2"]
+
+
+def test_segments_do_not_depend_on_partitions(spark, sf_dir):
+    rows = write_out(cluster_input(spark, sf_dir), "rows")
+    found = []
+    for parts in (1, 4, 9):
+        clustered, model = segments.fit_segments(write_out(rows.repartition(parts), "rows"))
+        found.append(sorted(map(tuple, clustered.select("row_id", "cluster_id").collect())))
+        told = segments.fit_metrics(rows, model)
+        assert told["iterations"] > 0 and told["converged"] == (told["iterations"] < Settings().max_iterations)
+    assert found[0] == found[1] == found[2]
+
+
+def test_second_run_has_no_open_requests(spark, sf_dir):
+    df = write_out(typed_listings(spark, sf_dir), "listings")
+
+    def half(requests):
+        status = F.when(F.col("key") < "8", "errored").otherwise("succeeded")
+        return replies_by_rule(requests).withColumn("status", status)
+
+    first = runs.with_responses(df, half, assign=by_tier)
+    asked = first.requests.collect()
+    assert asked and all(row.model and row.system and row.prompt for row in asked)
+    known = {row.key for row in first.responses.collect()}
+    assert known.isdisjoint(row.key for row in asked)
+
+    def everything(requests):
+        return replies_by_rule(requests).withColumn("status", F.lit("succeeded"))
+
+    done = runs.with_responses(df.drop("instagram"), everything, assign=by_tier)
+    assert done.requests.isEmpty()
+    told = {row.metric: row.value for row in done.metrics.collect()}
+    assert told["open_requests"] == "0" and told["categories_not_asked"] == "0"
+    assert any(key.startswith("segment_") for key in told)
