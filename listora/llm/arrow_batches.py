@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 PIECE_ROWS = 1024
 
 
@@ -22,6 +22,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         high = max(low + 1, min(low + PIECE_ROWS, int(np.searchsorted(ends, before + limit, side="right"))))
         yield batch.slice(low, high - low)
         low = high
+    pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def binary_rows(flat: np.ndarray, first: np.ndarray) -> pa.Array:

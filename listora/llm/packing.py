@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from listora.llm.arrow_batches import pieces
 
 LONGEST = 4096
-REMEMBERED = 300_000  # words a worker remembers
+REMEMBERED = 200_000  # words a worker remembers, and as many from before
 
 # Where a letter or digit of Basic Latin, or a letter up to U+024F (all of them but the two signs among them), meets an
 # ASCII sign, a pre-token ends. The apostrophe is left out, since contractions are split in another way.
@@ -141,6 +141,7 @@ def _packed(tokenizer_file: str, end_id: int, longest: int, with_ids: bool):
                     [pa.array([row[i] for row in out], kind) for i, (_, kind) in enumerate(_FIELDS[: 5 + with_ids])],
                     names=[name for name, _ in _FIELDS[: 5 + with_ids]],
                 )
+        known.before = {}  # workers live on after their task
 
     return run
 

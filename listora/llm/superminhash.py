@@ -12,7 +12,7 @@ import numpy as np
 
 from listora.llm.hashing import mixed
 
-_CELLS = 1 << 23  # elements taken at once, times slots
+_CELLS = 1 << 22  # elements taken at once, times slots
 _STEP = 0xD1B54A32D192ED03
 
 
