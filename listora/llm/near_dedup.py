@@ -5,12 +5,12 @@ member goes on. Classes that agree in a band meet in a bucket:
 
 1. each class is held against the least class of its buckets, and verified links make first groups;
 2. buckets that still hold several groups are split into blocks of bounded size. Classes outside the bucket's main
-   group are held against all others there, first by the sketch, then by one of 1,024 slots that only these classes
-   get; what may reach the threshold is verified.
+   group are held against all others there, first by the sketch, then by their sets in short hashes, within the block;
+   only pairs that pass become rows, and these are verified.
 
 So a bucket of copies costs one link per member, and no list of all pairs is made. A linked pair with similarity 0.85
-misses all 32 bands of 4 slots with odds of 6e-11, and falls below the bounds of 84 of 128 and 805 of 1,024 slots with
-odds of 1e-8 and 2e-8. Verification compares whole sets of 64-bit shingle hashes.
+misses all 32 bands of 4 slots with odds of 6e-11, and falls below the bound of 84 of 128 slots with odds of 1e-8. Short
+hashes have 32 bits and a slack of two shingles; verification compares whole sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -35,8 +35,7 @@ SHINGLE = 5
 SLOTS = 128
 BAND = 4  # slots
 AGREEING = 84  # of SLOTS, see above
-WIDE_SLOTS = 1024
-WIDE_AGREEING = 805
+SLACK = 2  # shingles that short hashes may merge
 BLOCK = 1024  # classes of a bucket that meet in one task
 
 
@@ -97,17 +96,18 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(out, names=["class", "elements"]).filter(keep)
 
 
-def _wide_sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets in sorted 32-bit hashes, and their true sizes."""
     for batch in batches:
         for piece in pieces(batch, "elements"):
             parts = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in piece.column("elements")]
+            short = [np.unique((x >> np.uint64(32)).astype(np.uint32)) for x in parts]
             first = np.zeros(len(parts) + 1, dtype=np.int64)
-            np.cumsum([len(x) for x in parts], out=first[1:])
-            wide = sketches(signatures(np.concatenate(parts), first, WIDE_SLOTS), np.uint8)
-            rows = np.arange(len(parts) + 1) * WIDE_SLOTS
+            np.cumsum([len(x) for x in short], out=first[1:])
+            sizes = pa.array([len(x) for x in parts], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [piece.column("class"), piece.column("sketch"), binary_rows(wide.reshape(-1), rows)],
-                names=["class", "sketch", "wide"],
+                [piece.column("class"), piece.column("sketch"), sizes, binary_rows(np.concatenate(short), first)],
+                names=["class", "sketch", "n", "short"],
             )
 
 
@@ -137,31 +137,42 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_verified(percent), "a binary, b binary")
 
 
-def _alike(batches: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block that may be alike: other groups, enough slots in common, and this is their first band."""
-    row = batches["side"].to_numpy() < 2
-    col = batches["side"].to_numpy() > 0
-    sketch = np.frombuffer(b"".join(batches["sketch"]), dtype=np.uint16).reshape(-1, SLOTS)
-    group = batches["group"].to_numpy()
-    wide = np.frombuffer(b"".join(batches["wide"]), dtype=np.uint8).reshape(-1, WIDE_SLOTS)
-    node = batches["class"].to_numpy()
-    band = int(batches["band"].iloc[0])
-    left, right = np.flatnonzero(row), np.flatnonzero(col)
-    out = []
-    for i in left:
-        others = right[group[right] != group[i]]
-        if row[i] and col[i]:
-            others = others[others > i]  # rows and columns are the same classes
-        close = others[(sketch[others] == sketch[i]).sum(axis=1) >= AGREEING]
-        close = close[(wide[close] == wide[i]).sum(axis=1) >= WIDE_AGREEING]
-        bands = (sketch[close] == sketch[i]).reshape(len(close), SLOTS // BAND, BAND).all(axis=2)
-        for j in close[bands.argmax(axis=1) == band]:
-            out.append((min(node[i], node[j]), max(node[i], node[j])))
-    return pd.DataFrame(out, columns=["a", "b"])
+def _alike(percent: int):
+    """Pairs of one block that may reach the threshold: of different groups, and this is their first band in common."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        row, col = block["side"].to_numpy() < 2, block["side"].to_numpy() > 0
+        sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint16).reshape(-1, SLOTS)
+        short = [np.frombuffer(x, dtype=np.uint32) for x in block["short"]]
+        size = block["n"].to_numpy()
+        group, node, band = block["group"].to_numpy(), block["class"].to_numpy(), int(block["band"].iloc[0])
+        right, out = np.flatnonzero(col), []
+        for i in np.flatnonzero(row):
+            others = right[group[right] != group[i]]
+            if col[i]:
+                others = others[others > i]  # rows and columns are the same classes
+            low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+            others = others[100 * low >= percent * high]
+            same = sketch[others] == sketch[i]
+            close = same.sum(axis=1) >= AGREEING
+            first = same[close].reshape(int(close.sum()), SLOTS // BAND, BAND).all(axis=2).argmax(axis=1)
+            others = others[close][first == band]
+            if not len(others):
+                continue
+            parts = [short[j] for j in others]
+            edges = np.cumsum([0] + [len(x) for x in parts[:-1]])
+            flat = np.concatenate(parts)
+            at = np.minimum(np.searchsorted(short[i], flat), len(short[i]) - 1)
+            both = np.add.reduceat((short[i][at] == flat).astype(np.int64), edges) + SLACK
+            for j in others[(100 + percent) * both >= percent * (size[others] + size[i])]:
+                out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
 
 
 def _rest_pairs(
-    members: DataFrame, first: DataFrame, classes: DataFrame, sets: DataFrame, groups: DataFrame
+    members: DataFrame, first: DataFrame, classes: DataFrame, sets: DataFrame, groups: DataFrame, percent: int
 ) -> DataFrame:
     """Pairs across groups that step 1 has not looked at, by sketch, block by block."""
     named = (
@@ -185,7 +196,7 @@ def _rest_pairs(
     )
     apart = write_out(named.join(buckets, "key").withColumn("is_main", F.col("group") == F.col("main")), "apart")
     open_classes = apart.select("class").distinct().join(classes.select("class", "sketch"), "class").join(sets, "class")
-    looks = open_classes.mapInArrow(_wide_sketched, "class binary, sketch binary, wide binary")
+    looks = open_classes.mapInArrow(_shortened, "class binary, sketch binary, n long, short binary")
     block = lambda n: F.pmod(F.xxhash64("class"), F.greatest(F.col(n), F.lit(1)))
     # a block (i, j) holds rows i against columns j; columns are always outside the main group
     as_main = F.transform(F.sequence(F.lit(0), F.col("other_blocks") - 1), lambda j: F.struct(block("main_blocks").alias("i"), j.alias("j"), F.lit(0).alias("side")))
@@ -201,8 +212,8 @@ def _rest_pairs(
         ),
     )
     placed = apart.withColumn("place", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_other)))
-    placed = placed.join(looks, "class").select("key", "band", "place.*", "class", "group", "sketch", "wide")
-    pairs = placed.groupBy("key", "i", "j").applyInPandas(_alike, "a binary, b binary")
+    placed = placed.join(looks, "class").select("key", "band", "place.*", "class", "group", "sketch", "n", "short")
+    pairs = placed.groupBy("key", "i", "j").applyInPandas(_alike(percent), "a binary, b binary")
     return pairs.distinct()
 
 
@@ -242,7 +253,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     first = members.groupBy(F.col("class").alias("b")).agg(F.min("least").alias("a")).where("a != b")
     links = write_out(_verify(first, sets, percent), "links")
     groups = components(links)
-    rest = _verify(_rest_pairs(members, first, classes, sets, groups), sets, percent)
+    rest = _verify(_rest_pairs(members, first, classes, sets, groups, percent), sets, percent)
     grouped = components(links.union(rest))
     labelled = classes.join(grouped, F.col("class") == F.col("node"), "left").select(
         "class", "doc_id", "copies", F.coalesce("component", "class").alias("component")
