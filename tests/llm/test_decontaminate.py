@@ -102,3 +102,27 @@ def test_budget_leaves_a_bound(length):
     edits = de.budget(length)
     assert 0 <= edits <= length * de.EDITS
     assert length + 1 - (edits + 1) * de.GRAM >= 1
+
+
+def test_passages_at_every_offset(rows_of):
+    """Passages of the stated least length, wherever in a longer item they begin, and short items as whole words."""
+    rng = random.Random(5)
+    item = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(60))[:300].strip()
+    around = [" ".join("".join(rng.choice("qrstuvwxyz") for _ in range(5)) for _ in range(20)) for _ in range(2)]
+    passages = [item[at : at + 80] for at in range(len(item) - 79)]
+    passages += [changed(item[at : at + 80], 8, rng) for at in range(len(item) - 79)]
+    docs = [(i, f"{around[0]} {passage} {around[1]}") for i, passage in enumerate(passages)]
+    docs += [(1000, around[0]), (1001, "So it was a Gray, cat!"), (1002, "stray cattle"), (1003, "gray"), (1004, "a gray cat")]
+    rows = rows_of([{"doc_id": a, "text": b} for a, b in docs], "doc_id long, text string")
+    bench = rows_of([{"item_id": 1, "text": item}, {"item_id": 2, "text": "gray cat"}, {"item_id": 3, "text": "ray"}], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in de.leaks(rows, bench).collect()}
+    assert found == {(i, 1) for i in range(len(passages))} | {(1001, 2), (1004, 2)}
+    assert {r.doc_id for r in de.decontaminated(rows, bench).collect()} == {1000, 1002, 1003}
+
+
+@pytest.mark.parametrize("length", [0, 1, 79, 80, 81, 142, 143, 144, 145, 207, 208, 500])
+def test_segments_hold_every_window_once(length):
+    symbols = np.arange(length, dtype=np.uint32)
+    parts = list(de.cut_segments(symbols))
+    assert [at + i for at, part in parts for i in de.cut_windows(part)] == de.cut_windows(symbols)
+    assert all(np.array_equal(part, symbols[at : at + len(part)]) and len(part) <= de.SEGMENT for at, part in parts)
