@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from listora.llm import decontaminate, language_id, near_dedup, packing, substring_dedup
 from listora.session import prepare, write_out
 
-LEAST_LANGUAGE_SCORE = 0.5  # a cosine of 0 with the best prototype
+LEAST_LIKENESS = 0.5  # of what 95 % of a language's labelled documents reach
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without letters, or unlike every language seen, go."""
+    """Documents like a language seen; those without letters, or unlike every language seen, go."""
     prepare(spark)
-    return language_id.accepted(docs, LEAST_LANGUAGE_SCORE)
+    return language_id.accepted(docs, LEAST_LIKENESS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,13 +3,15 @@
 Every letter has a random vector of -1 and 1, and so has the space that stands for any run of other characters. A
 trigram's vector binds its letters: the first letter's vector rotated by two, times the second's rotated by one, times
 the third's. A document is the sum of its trigrams' vectors, a language the sum of its documents'. A document gets the
-language whose prototype, less the mean of all prototypes' directions, has the highest cosine with it.
+language whose prototype, less the mean of all prototypes' directions, has the highest cosine with it. That cosine is never
+below 0 with two or more languages, so whether a document is like any language at all is told otherwise: by how frequent
+its trigrams are in the language on average, against how frequent the language's own are.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +24,7 @@ from listora.llm.arrow_batches import pieces
 DIMENSIONS = 1024
 GRAM = 3
 UNDETERMINED = "und"
+UNLIKE = 0.05  # of a language's labelled documents are less like it than its floor
 
 _CHUNK = 1 << 20  # characters of a text that are looked at together
 
@@ -90,6 +93,12 @@ def gram_vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
 
 def bundles(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     """Vector of each text (a sum of whole numbers), and whether the text has a letter."""
+    found, totals = counted_bundles(texts, dimensions)
+    return found, totals > 0
+
+
+def counted_bundles(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vector of each text, and the number of its trigrams."""
     owners, grams, counts = gram_counts(texts)
     distinct, place = np.unique(grams, return_inverse=True)
     out = np.zeros((len(texts), dimensions), dtype=np.float32)
@@ -98,15 +107,27 @@ def bundles(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
         weights = np.zeros((len(texts), min(4096, len(distinct) - low)), dtype=np.float32)
         np.add.at(weights, (owners[some], place[some] - low), counts[some])
         out += weights @ gram_vectors(distinct[low : low + 4096], dimensions).astype(np.float32)
-    return out, np.bincount(owners, minlength=len(texts)) > 0
+    return out, np.bincount(owners, counts, minlength=len(texts))
+
+
+def likeness(found: np.ndarray, totals: np.ndarray, sums: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Mean frequency of the texts' trigrams in a language over that of its own: about 1 for its texts, however long.
+
+    Rows go together; the sum has the vectors of `of` trigrams. Without trigrams on either side it is 0.
+    """
+    own = (sums * sums).sum(axis=-1)
+    known = (totals > 0) & (own > 0)
+    return np.where(known, (found * sums).sum(axis=-1) * of / np.where(known, totals * own, 1), 0.0)
 
 
 @dataclass(frozen=True)
 class Profiles:
-    """Language names in order, and a unit vector for each."""
+    """Language names in order, a unit vector for each, the sums of their documents' vectors and of how many trigrams."""
 
     names: list[str]
     vectors: np.ndarray
+    sums: np.ndarray
+    totals: np.ndarray
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Best language and its score from 0 to 1 for each text; equal cosines go to the first name."""
@@ -135,11 +156,12 @@ def _partial_sums(dimensions: int):
                 weights = weights.reshape(len(names), len(distinct))
                 for low in range(0, len(distinct), 4096):
                     part = weights[:, low : low + 4096] @ gram_vectors(distinct[low : low + 4096], dimensions).astype(float)
+                    part = np.column_stack((part, weights[:, low : low + 4096].sum(axis=1)))
                     for name, row in zip(names, part, strict=True):
                         sums[name] = sums.get(name, 0) + row
         for name, row in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * dimensions), pa.array(np.arange(dimensions)), pa.array(np.rint(row).astype(np.int64))],
+                [pa.array([name] * len(row)), pa.array(np.arange(len(row))), pa.array(np.rint(row).astype(np.int64))],
                 names=["lang", "at", "part"],
             )
 
@@ -149,7 +171,7 @@ def _partial_sums(dimensions: int):
 def fit(docs: DataFrame, training: Column, dimensions: int = DIMENSIONS) -> Profiles:
     """Prototypes of all documents that `training` picks and whose lang is not null; only text and lang are read.
 
-    What reaches the driver is one vector for each language.
+    What reaches the driver is one vector and a count for each language.
     """
     rows = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     sums = rows.mapInArrow(_partial_sums(dimensions), "lang string, at long, part long")
@@ -157,14 +179,16 @@ def fit(docs: DataFrame, training: Column, dimensions: int = DIMENSIONS) -> Prof
         F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts")
     )
     rows = sorted((row.lang, [x.part for x in row.parts]) for row in found.collect())
-    vectors = np.array([row for _, row in rows], dtype=np.float64).reshape(len(rows), dimensions)
+    sums = np.array([row for _, row in rows], dtype=np.float64).reshape(len(rows), dimensions + 1)
+    sums, totals = sums[:, :dimensions], sums[:, dimensions]
+    vectors = sums
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = vectors / np.where(norms > 0, norms, 1)
     if len(rows) > 1:
         vectors = vectors - vectors.mean(axis=0)
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         vectors = vectors / np.where(norms > 0, norms, 1)
-    return Profiles([name for name, _ in rows], vectors)
+    return Profiles([name for name, _ in rows], vectors, sums, totals)
 
 
 def held_out(fold: int = 1, folds: int = 3) -> Column:
@@ -200,18 +224,51 @@ def languages(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, least_score: float, dimensions: int = DIMENSIONS) -> DataFrame:
-    """Rows of `docs`, all columns as they are, whose language can be told with at least this score."""
-    profiles = fit(docs, F.lit(True), dimensions)
-    return docs.mapInArrow(_keeping(profiles.predict, least_score), docs.schema)
+def _own_likeness(profiles: Profiles):
+    """Likeness of each labelled document to its language's other documents; to 3 digits, so few values differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                found, totals = counted_bundles([x.as_py() or "" for x in piece.column("text")], profiles.sums.shape[1])
+                found = found.astype(np.float64)
+                own = [profiles.names.index(x) for x in piece.column("lang").to_pylist()]
+                others = profiles.totals[own] - totals
+                own = np.round(likeness(found, totals, profiles.sums[own] - found, others), 3)
+                known = pa.array((totals > 0) & (others > 0), pa.bool_())
+                yield pa.RecordBatch.from_arrays([piece.column("lang"), pa.array(own)], names=["lang", "own"]).filter(known)
+
+    return run
+
+
+def floors(docs: DataFrame, profiles: Profiles) -> np.ndarray:
+    """For each language the likeness that all but UNLIKE of its labelled documents reach; 1 for a single document."""
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    own = rows.mapInArrow(_own_likeness(profiles), "lang string, own double")
+    found = own.groupBy("lang").agg(F.percentile("own", F.lit(UNLIKE)).alias("floor")).collect()
+    found = {row.lang: row.floor for row in found}
+    return np.array([max(0.001, found.get(name, 1.0)) for name in profiles.names])
+
+
+def accepted(docs: DataFrame, least_share: float, dimensions: int = DIMENSIONS) -> DataFrame:
+    """Rows of `docs`, all columns as they are, that are like a language learnt from the labelled ones.
+
+    A document stays if its likeness to any language is at least this share of the language's floor (see `floors`).
+    Documents without letters go, and all do if nothing is labelled. Two or three words say little, whichever way it goes.
+    """
+    labelled = docs.select("text", F.col("lang").cast("string").alias("lang"))
+    profiles = fit(labelled, F.lit(True), dimensions)
+    return docs.mapInArrow(_keeping(profiles, least_share * floors(labelled, profiles)), docs.schema)
 
 
-def _keeping(predict: Callable, least_score: float):
+def _keeping(profiles: Profiles, least: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
-                names, scores = predict([x.as_py() or "" for x in piece.column("text")])
-                keep = [name != UNDETERMINED and score >= least_score for name, score in zip(names, scores, strict=True)]
-                yield piece.filter(pa.array(keep, pa.bool_()))
+                found, totals = counted_bundles([x.as_py() or "" for x in piece.column("text")], profiles.sums.shape[1])
+                found, keep = found.astype(np.float64), np.zeros(len(piece), dtype=bool)
+                for vector, of, floor in zip(profiles.sums, profiles.totals, least, strict=True):
+                    keep |= np.maximum(likeness(found, totals, vector, of), 0) >= floor
+                yield piece.filter(pa.array(keep & (totals > 0), pa.bool_()))
 
     return run

@@ -2,6 +2,7 @@
 
 import zlib
 
+import corpus_pipeline as pipeline
 import numpy as np
 import pyarrow as pa
 
@@ -61,3 +62,16 @@ def test_lang_and_ids_are_no_inputs(rows_of):
     profiles = language_id.fit(docs, docs["doc_id"] >= 0)
     assert profiles.predict(["aaa", "ddd", ""])[0] == ["y", "x", "und"]
     assert isinstance(profiles.vectors, np.ndarray) and pa is not None
+
+
+def test_unseen_languages_go(spark, sf_dir, rows_of, rng):
+    """Random letters and other scripts go, labelled or not, and documents of the languages seen stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for n in (40, 300, 2000, 20_000)]
+    noise += ["Съешь же ещё этих мягких французских булок " * 9, "いろはにほへと ちりぬるを わかよたれそ " * 9, "ποιος ειναι αυτος ο ανθρωπος " * 9]
+    odd = [{"doc_id": 10**9 + i, "text": text, "lang": None} for i, text in enumerate(noise)]
+    odd += [{"doc_id": 10**9 + 100, "text": noise[0], "lang": "en"}]
+    left = {row.doc_id for row in language_id.accepted(docs.union(rows_of(odd, "doc_id long, text string, lang string")), pipeline.LEAST_LIKENESS).collect()}
+    assert not [i for i in left if i >= 10**9]
+    clean = [row.doc_id for row in docs.collect() if len((row.text or "").split()) >= 50]
+    assert len(clean) > 100 and set(clean) <= left
