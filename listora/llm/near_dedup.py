@@ -9,13 +9,15 @@ member goes on. Classes that agree in a band meet in a bucket:
    only pairs that pass become rows, and these are verified.
 
 So a bucket of copies costs one link per member, and no list of all pairs is made. A linked pair with similarity 0.85
-misses all 32 bands of 4 slots with odds of 6e-11, and falls below the bound of 84 of 128 slots with odds of 1e-8. Short
+misses all 32 bands of 4 slots with odds of 6e-11, one with 0.80 with odds of 5e-8. Either falls below the bound on
+agreeing slots, 84 of 128 at 0.85 and 75 at 0.80, with odds of 1.4e-8 at most. Short
 hashes have 32 bits and a slack of two shingles; verification compares whole sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +36,21 @@ from listora.session import write_out
 SHINGLE = 5
 SLOTS = 128
 BAND = 4  # slots
-AGREEING = 84  # of SLOTS, see above
+MISSED = 1.4e-8  # odds that a linked pair has too few agreeing slots
 SLACK = 2  # shingles that short hashes may merge
 BLOCK = 1024  # classes of a bucket that meet in one task
 
 
+def agreeing(percent: int) -> int:
+    """Slots that a pair of this similarity agrees in, but for odds of MISSED (binomial)."""
+    share, below = percent / 100, 0.0
+    for k in range(SLOTS):
+        below += math.comb(SLOTS, k) * share**k * (1 - share) ** (SLOTS - k)
+        if below > MISSED:
+            return k
+    return SLOTS
+
+
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every text, one after the other, and where each set begins.
 
@@ -139,6 +151,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _alike(percent: int):
     """Pairs of one block that may reach the threshold: of different groups, and this is their first band in common."""
+    least = agreeing(percent)
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         row, col = block["side"].to_numpy() < 2, block["side"].to_numpy() > 0
@@ -154,7 +167,7 @@ def _alike(percent: int):
             low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
             others = others[100 * low >= percent * high]
             same = sketch[others] == sketch[i]
-            close = same.sum(axis=1) >= AGREEING
+            close = same.sum(axis=1) >= least
             first = same[close].reshape(int(close.sum()), SLOTS // BAND, BAND).all(axis=2).argmax(axis=1)
             others = others[close][first == band]
             if not len(others):

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -217,3 +218,35 @@ def test_difference_cover():
         for j in range(7):
             assert any((i + d) % 7 in substring_dedup.COVER and (j + d) % 7 in substring_dedup.COVER for d in range(7))
     assert substring_dedup.ANCHOR + substring_dedup.PERIOD - 1 <= substring_dedup.WINDOW
+
+
+def block_of(same_slots, shorts, sizes):
+    """A block of two classes of different groups whose sketches agree in their first slots."""
+    left = np.zeros(near_dedup.SLOTS, dtype=np.uint16)
+    right = np.where(np.arange(near_dedup.SLOTS) < same_slots, left, left + 1).astype(np.uint16)
+    return pd.DataFrame({
+        "side": [1, 1], "sketch": [left.tobytes(), right.tobytes()], "short": [x.astype(np.uint32).tobytes() for x in shorts],
+        "n": sizes, "group": [b"a", b"b"], "class": [b"a", b"b"], "band": [0, 0],
+    })
+
+
+def test_slots_follow_the_threshold():
+    """A pair of similarity 0.80 agrees in 75 to 83 slots more often than links may be lost."""
+    assert [near_dedup.agreeing(percent) for percent in (100, 85, 80)] == [128, 84, 75]
+    sets = [np.arange(0, 900), np.arange(100, 1000)]
+    for slots, wanted in ((74, 0), (75, 1), (83, 1), (84, 1)):
+        assert len(near_dedup._alike(80)(block_of(slots, sets, [900, 900]))) == wanted
+    assert near_dedup._alike(85)(block_of(83, [sets[0], sets[0]], [900, 900])).empty
+
+
+def test_pairs_from_80_percent(rows_of):
+    rows, wanted = [], []
+    for pair in range(40):
+        changed = pair % 10 + 18  # of 200 shingles, at the end
+        text = [f"p{pair}w{i}" for i in range(204)]
+        other = text[: 204 - changed] + [f"{word}x" for word in text[204 - changed :]]
+        rows += [{"doc_id": 2 * pair, "text": " ".join(text)}, {"doc_id": 2 * pair + 1, "text": " ".join(other)}]
+        alike = 100 * (200 - changed) >= 80 * (200 + changed)
+        wanted += [2 * pair] if alike else [2 * pair, 2 * pair + 1]
+    left = near_dedup.one_of_each(rows_of(rows, "doc_id long, text string"), percent=80)
+    assert sorted(row.doc_id for row in left.collect()) == wanted
