@@ -56,10 +56,11 @@ BOILERPLATE_WORDS = frozenset(
     "teaser toolbar tooltip topbar widget widgets".split()
 )
 
-_TAG = re.compile(
-    r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"(?:[^"<]*+|[^"]{0,2000})"|'(?:[^'<]*+|[^']{0,2000})')*+)>"""
-)
-_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+)>""")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_BARE = re.compile(r"""(?:[^>=]++|=(?!\s*+["']))*+""")
+_QUOTE = re.compile(r"""=\s*+(["'])""")
+_HINTING = re.compile(r"\b(?:class|id|role|hidden|style)\s*$", re.I)
 _HINTS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _HINT_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -92,6 +93,29 @@ def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+def _attributes(source: str, at: int) -> tuple[str, int]:
+    """Attributes from here to the tag's end, quoted values only of those that give hints, and where the tag ends.
+
+    A quoted value ends at its closing quote, however far. If there is none, the tag ends at the next `>`; a tag that
+    the page's end cuts off ends there.
+    """
+    parts = []
+    while True:
+        bare = _BARE.match(source, at).end()
+        parts.append(source[at:bare])
+        if bare == len(source):
+            return "", bare
+        if source[bare] == ">":
+            return "".join(parts), bare + 1
+        quote = _QUOTE.match(source, bare)
+        close = source.find(quote[1], quote.end())
+        if close < 0:
+            end = source.find(">", quote.end())
+            return "".join(parts), len(source) if end < 0 else end + 1
+        parts.append(source[bare : close + 1] if _HINTING.search(parts[-1]) else '=""')
+        at = close + 1
+
+
 class _Page:
     """Blocks of one page, in order."""
 
@@ -126,15 +150,16 @@ class _Page:
                 at = tag + 1
 
     def _tag(self, source: str, tag: int) -> int:
-        found = _TAG.match(source, tag)
+        found = _PLAIN_TAG.match(source, tag)
         if found:
-            closing, name, attributes, at = found[1] == "/", found[2].lower(), found[3], found.end()
+            attributes, at = found[3], found.end()
         else:
-            name = _NAME.match(source, tag)
-            end = source.find(">", tag)
-            if not name or end < 0:  # a stray `</`, or a tag that the page's end cuts off
+            found = _NAME.match(source, tag)
+            if not found:  # a stray `</`
+                end = source.find(">", tag)
                 return len(source) if end < 0 else end + 1
-            closing, name, attributes, at = source[tag + 1] == "/", name[1].lower(), "", end + 1
+            attributes, at = _attributes(source, found.end())
+        closing, name = found[1] == "/", found[2].lower()
         if name in RAW and not closing:
             end = re.compile(f"</{name}[\\s/>]", re.I).search(source, at)
             if not end:

@@ -78,3 +78,20 @@ def test_rows(rows_of):
 def test_deep_and_broken_pages_take_linear_time():
     for source in ("<div>" * 20_000, '<p a="' * 20_000, "<!--" * 20_000, "</p>" * 20_000, "<" * 50_000, "<article>" + "a " * 200_000):
         main_text(source)
+
+
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_long_attribute_values(quote):
+    """A value with markup is read to its closing quote, and its own markup gives no hints."""
+    value = f"data-x={quote}" + "<b>not text</b> <i class=ad hidden>" * 300 + quote
+    assert len(value) > 10_000
+    clean = " ".join(LONG.split())
+    page = f"<article><div class=ad {value}>{LONG}</div><div {value} class={quote}promo{quote}>{LONG}</div><p {value}>{LONG}</p></article>"
+    assert main_text(body(page)) == clean
+    assert main_text(body(f"<article><p>{LONG}</p><div data-x={quote}open <b>{LINE}</div></article>")).startswith(clean)
+    assert main_text(f"<article><p title=Tom's>{LONG}</p><p>{LINE}</p><p>It's</p></article>").split("\n") == [clean, LINE, "It's"]
+
+
+def test_far_quotes_take_linear_time():
+    for source in ('<p a=">" ' * 40_000, '<p a=">" ' * 40_000 + "b='", "<p a='<" * 40_000, '<p a="' + "<p b='>" * 40_001, "<p " + "= " * 200_000):
+        main_text(source)
