@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from listora.llm import chat_format, decontaminate, html_text, language_id, lm_score, packing, substring_dedup
-from listora.llm import token_counts, topk_search
+from listora.llm import chat_format, decontaminate, html_text, language_id, lm_score, packing, phrases, quality_rules
+from listora.llm import spelling, substring_dedup, token_counts, topk_search
 from listora.llm.near_dedup import near_duplicates
 from listora.session import prepare
 
@@ -151,3 +151,83 @@ def _chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lm_score")
 def _lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
+# crc32 by half bytes: the low half of a byte goes first. The sixteen values follow from the polynomial.
+def _crc_half(value: int) -> int:
+    for _ in range(4):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+_HALVES = f"[{', '.join(str(_crc_half(half)) for half in range(16))}]"
+
+
+def _crc32(text: str) -> str:
+    digit = "(instr('0123456789ABCDEF', substr(h, (i - i % 2 + 2 - i % 2)::BIGINT, 1)) - 1)::BIGINT"
+    halves = f"list_transform(range(0, len(h)), lambda i: {digit})"
+    return (
+        f"(SELECT xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], {halves}),"
+        f" lambda c, d: xor({_HALVES}[(xor(c, d) & 15) + 1]::BIGINT, c >> 4))) FROM (SELECT hex(encode({text})) AS h))"
+    )
+
+
+@query("op11_spelling_variants", f"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({FOLD.format("coalesce(text, '')")}, '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 6 GROUP BY 1, 2),
+h AS (SELECT run, n, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM d),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+p AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+one AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM p a JOIN p b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM w a JOIN p b ON b.less = a.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM w a JOIN p b ON b.less = a.word),
+k AS (SELECT word, n, count(*) OVER (PARTITION BY word) AS n_near, near, near_n FROM one QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+  CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n FROM w LEFT JOIN k ON k.word = w.word),
+t AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON f.word = t.next)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN t ON t.word = f.word WHERE t.next IS NULL""")
+def _spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_phrase_collocations", f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM d),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, unnest(range(1, 6)) AS x(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+kept AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (FROM f AS b WHERE b.lang = f.lang AND b.k > f.k AND b.a >= f.a AND contains(' ' || b.phrase || ' ', ' ' || f.phrase || ' '))),
+c AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS first, array_to_string(ws[j + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS j FROM kept)),
+s AS (SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM c JOIN t ON t.lang = c.lang JOIN f l ON l.lang = c.lang AND l.phrase = first JOIN f r ON r.lang = c.lang AND r.phrase = rest),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM m QUALIFY rank <= 2000""")
+def _phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+# The rules and measurements of the ledger, in SQL.
+@query("op13_quality_rules", f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS.format("coalesce(text, '')")} AS ws,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents),
+p AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+b AS (SELECT doc_id, i FROM p QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+r AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM b) GROUP BY 1),
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+  coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(regexp_replace(text, '\\P{{L}}+', '', 'g'))::BIGINT AS n_letters,
+  length(regexp_replace(text, '\\P{{Lu}}+', '', 'g'))::BIGINT AS n_upper, length(regexp_replace(text, '[^!]+', '', 'g'))::BIGINT AS n_shouts
+  FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+f AS (SELECT *, ({" + ".join(f"CASE WHEN {rule.fails} THEN {1 << rule.bit} ELSE 0 END" for rule in quality_rules.RULES)})::BIGINT AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {quality_rules.BASE.mask()} > 0 AS base_failed, failed = 0 AS kept, failed FROM f""")
+def _quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    judged = quality_rules.verdicts(found, quality_rules.PROSE)
+    base = F.col("failed").bitwiseAND(F.lit(quality_rules.BASE.mask()).cast("long")) != 0
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed"
+    )
