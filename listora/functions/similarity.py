@@ -7,13 +7,11 @@ exactly on the threshold is judged exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SCALE = 1000  # thresholds are honoured to three decimals
 _CELLS = 4_000_000  # most table cells held at once while scoring a batch
@@ -27,7 +25,7 @@ def _codes(texts: list[str], width: int, filler: int) -> np.ndarray:
 
 
 def lcs_of_pairs(left: list[str], right: list[str]) -> np.ndarray:
-    """LCS length of each pair, one table row at a time for all pairs at once.
+    """LCS length of each pair outside Spark, one table row at a time for all pairs at once.
 
     A row follows from the row above by a running maximum, since within a row
     the LCS never falls from left to right.
@@ -55,23 +53,148 @@ def lcs_of_pairs(left: list[str], right: list[str]) -> np.ndarray:
     return result
 
 
-@F.pandas_udf(T.IntegerType())
-def lcs_length(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """LCS length; null where either text is null, at no cost for those rows."""
-    for left, right in pairs:
-        known = (left.notna() & right.notna()).to_numpy()
-        out = pd.Series([None] * len(left), dtype="Int32")
-        if known.any():
-            out[known] = lcs_of_pairs(left[known].tolist(), right[known].tolist())
-        yield out
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over a value that is worked out once. Lambdas must not look at anything but their own variables: what
+    stands outside would be worked out anew for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+_WORD = 62  # positions of a text in one number, so that sums stay within 64 bits
+
+
+def _number(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", _number(1), place.cast("int"))
+
+
+def _ones(count: Column) -> Column:
+    return _bit(count) - _number(1)
+
+
+def _characters(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _masks(text: Column) -> Column:
+    """(keys, masks): each distinct character of a text of up to 62 with the bits of its places. The text's characters are
+    sorted, so that one walk gathers the bits of each."""
+    spots = F.sort_array(F.transform(_characters(text), lambda c, i: F.struct(c.alias("key"), _bit(i).alias("bits"))))
+    start = F.struct(
+        F.lit("").alias("key"), _number(0).alias("bits"),
+        F.array().cast("array<string>").alias("keys"), F.array().cast("array<bigint>").alias("masks"),
+    )
+
+    def step(seen: Column, spot: Column) -> Column:
+        again = seen["key"] == spot["key"]
+        return F.struct(
+            spot["key"].alias("key"),
+            F.when(again, seen["bits"].bitwiseOR(spot["bits"])).otherwise(spot["bits"]).alias("bits"),
+            F.when(again, seen["keys"]).otherwise(F.concat(seen["keys"], F.array(seen["key"]))).alias("keys"),
+            F.when(again, seen["masks"]).otherwise(F.concat(seen["masks"], F.array(seen["bits"]))).alias("masks"),
+        )
+
+    return F.aggregate(
+        spots, start, step,
+        lambda seen: F.struct(
+            F.concat(seen["keys"], F.array(seen["key"])).alias("keys"), F.concat(seen["masks"], F.array(seen["bits"])).alias("masks")
+        ),
+    )
+
+
+def _in_one_word(short: Column, other: Column) -> Column:
+    """LCS by bit vectors (Hyyroe, 2004): a zero in v at a place says that the LCS grows there."""
+
+    def known(x: Column) -> Column:
+        masks = F.transform(
+            x["other"], lambda c: F.coalesce(F.get(x["told"]["masks"], F.array_position(x["told"]["keys"], c).cast("int") - 1), _number(0))
+        )
+        # the sum leaves the word where the top place is carried; v holds no place beyond the text
+        grown = F.aggregate(
+            masks, x["full"],
+            lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(x["full"]),
+        )
+        return F.bit_count(x["full"]) - F.bit_count(grown)
+
+    given = F.struct(_masks(short).alias("told"), _characters(other).alias("other"), _ones(F.length(short)).alias("full"))
+    return _let(given, known)
+
+
+def _in_words(short: Column, other: Column) -> Column:
+    """The same for longer texts: a vector is a list of words, and sums carry from one to the next."""
+    top = _number((1 << _WORD) - 1)
+
+    def bits_of(chars: Column, key: Column) -> Column:
+        seen = F.aggregate(
+            chars, F.struct(_number(0).alias("bits"), _number(1).alias("place")),
+            lambda s, c: F.struct(
+                F.when(c == key, s["bits"].bitwiseOR(s["place"])).otherwise(s["bits"]).alias("bits"),
+                F.call_function("shiftleft", s["place"], F.lit(1)).alias("place"),
+            ),
+        )
+        return seen["bits"]
+
+    def next_words(words: Column, masks: Column) -> Column:
+        def step(so_far: Column, w: Column) -> Column:
+            total = w["v"] + w["v"].bitwiseAND(w["m"]) + so_far["carry"]
+            kept = total.bitwiseAND(top).bitwiseOR(w["v"].bitwiseAND(F.bitwise_not(w["m"])))
+            return F.struct(
+                F.concat(so_far["words"], F.array(kept)).alias("words"), F.call_function("shiftright", total, F.lit(_WORD)).alias("carry")
+            )
+
+        start = F.struct(F.array().cast("array<bigint>").alias("words"), _number(0).alias("carry"))
+        both = F.zip_with(words, masks, lambda v, m: F.struct(v.alias("v"), m.alias("m")))
+        return F.aggregate(both, start, step, lambda so_far: so_far["words"])
+
+    def known(x: Column) -> Column:
+        masks = F.transform(F.array_distinct(x["chars"]), lambda key: F.struct(
+            key.alias("key"), F.transform(x["parts"], lambda part: bits_of(part, key)).alias("masks")))
+
+        def walked(y: Column) -> Column:
+            grown = F.aggregate(
+                x["other"], F.transform(x["parts"], lambda part: top),
+                lambda words, c: F.coalesce(next_words(words, F.get(F.filter(y, lambda one: one["key"] == c), F.lit(0))["masks"]), words),
+            )
+            last = F.transform(x["parts"], lambda part: _ones(F.size(part)))
+            places = F.zip_with(grown, last, lambda v, full: F.bit_count(v.bitwiseAND(full)))
+            return F.size(x["chars"]) - F.aggregate(places, F.lit(0), lambda n, more: n + more)
+
+        return _let(masks, walked)
+
+    def cut(chars: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(chars), F.lit(_WORD))
+        return F.struct(
+            chars.alias("chars"), F.transform(starts, lambda at: F.slice(chars, at, _WORD)).alias("parts"), _characters(other).alias("other")
+        )
+
+    return _let(_let(_characters(short), cut), known)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence, in the JVM; null where either text is null."""
+    first = F.length(a) <= F.length(b)
+    short, other = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
+    size = F.length(short)
+    return F.when(size == 0, 0).when(size <= _WORD, _in_one_word(short, other)).when(size > _WORD, _in_words(short, other))
+
+
+def indels(a: Column, b: Column) -> Column:
+    """Fewest insertions and deletions between two texts.
+
+    With an edit distance up to one above the difference in length they follow from it, since they exceed it by at most
+    the number of replacements and agree with the difference in parity; other pairs take the common subsequence.
+    """
+    gap = F.abs(F.length(a) - F.length(b))
+    distance = F.levenshtein(a, b)
+    return F.when(distance <= gap + 1, 2 * distance - gap).otherwise(F.length(a) + F.length(b) - 2 * lcs_length(a, b))
 
 
 def ratio(a: Column, b: Column) -> Column:
     """Score of two texts as they stand; two empty texts are equal."""
     total = F.length(a) + F.length(b)
-    different = a != b
-    lcs = lcs_length(F.when(different, a), F.when(different, b))
-    return F.when(different, F.lit(200.0) * lcs / total).when(total >= 0, F.lit(100.0))
+    return F.when(a != b, F.lit(100.0) * (total - indels(a, b)) / total).when(total >= 0, F.lit(100.0))
 
 
 def scaled(threshold: float) -> int:

@@ -8,19 +8,22 @@ How it runs on Spark, without ever meeting all pairs of a block:
 
 1.  Equal match keys collapse to their first row (a partial aggregate, so any
     number of copies costs one row per task).
-2.  Candidates come from an equi-join on text segments. If two texts are at
-    most k edits apart and the shorter is cut into k+1 segments, some segment
-    survives in the other text near its place (Li, Deng, Feng: Pass-Join, VLDB
-    2011; here with insertions and deletions only, which also fixes the parity
-    of the shift). The join key is block, length, segment number and segment.
+2.  Candidates come from an equi-join of short pieces. k insertions and
+    deletions touch at most k of the pieces a text is cut into, so one of any
+    k+1 of them stands in the other text, near its place (the asymmetric chunks
+    and grams of Qin, Wang, Lu, Xiao, Lin, SIGMOD 2011). The k+1 pieces that are
+    rarest in their block are taken: what a whole block shares, such as a street,
+    brings nobody together as long as a text has k+1 pieces besides.
 3.  Survivors are settled in batches of growing size per block. A row is first
     held against the rows kept in earlier batches, and only what remains is
     compared inside its own batch. In a dense group of near copies nearly all
     rows are thus removed against few kept ones, instead of pairing up among
     themselves (the prefix argument of Blelloch, Fineman, Shun, SPAA 2012).
-4.  The first batch of a block is small enough to be settled in place. Within a
-    later batch the rule is settled on the edge table in rounds: a row that no
-    undecided earlier row is alike to stays, its later neighbours go.
+4.  Within a batch the rule is settled on the edge table. Edges that hang
+    together are replayed in order by one task: a block's edges where they are
+    few, else the connected components of its edges. Only components with more
+    edges than one task replays take rounds, in which a row that no undecided
+    earlier row is alike to stays, and its later neighbours go.
 
 Batches and rounds are written to the shared folder, so a lost executor costs
 one step and every decision is taken once.
@@ -28,27 +31,24 @@ one step and every decision is taken once.
 
 from __future__ import annotations
 
-import numpy as np
+import functools
+from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listora.functions.similarity import (
-    SCALE,
-    allowed_edits,
-    lcs_length,
-    lcs_of_pairs,
-    ratio,
-    scaled,
-)
+from listora.functions.similarity import SCALE, allowed_edits, lcs_length, ratio, scaled
 from listora.functions.text import sorted_tokens
 from listora.operators.identity import dedup_exact, has_any_id, processing_order
 from listora.schema import ROW_ID
 from listora.session import row_count, write_out, write_out_with
 from listora.settings import Settings
 
-FIRST_BATCH = 64  # rows per block in the first batch, settled in one task
+FIRST_BATCH = 256  # rows per block in the first batch
 BATCH_GROWTH = 4
+REPLAYED = 100_000  # edges that hang together and that one task replays
+PIECE = 3  # characters of a piece, where a text has enough of them
 
 
 def match_text(columns) -> Column:
@@ -85,7 +85,7 @@ def _looks(side: str) -> list[Column]:
     """What is told of a text before the text itself is fetched."""
     return [
         F.col("block").alias(f"{side}_block"), F.col("ord").alias(f"{side}_ord"),
-        F.length("key").alias(f"{side}_size"), F.col("counts").alias(f"{side}_counts"),
+        F.col("size").alias(f"{side}_size"), F.col("counts").alias(f"{side}_counts"),
     ]
 
 
@@ -100,16 +100,23 @@ def _edits(length: str, threshold: float) -> str:
     return f"({100 * SCALE - scaled(threshold)} * CAST({length} AS BIGINT) DIV {100 * SCALE})"
 
 
-def _cuts(length: str, threshold: float) -> str:
-    """Number of segments a text of this length is cut into: one more than the
-    edits allowed between it and the longest text that can be alike to it."""
+def _longest(length: str, threshold: float) -> str:
+    """Length of the longest text that can be alike to one of this length."""
     t = scaled(threshold)
-    longest = f"CAST({length} AS BIGINT) * {200 * SCALE - t} DIV {t}"
-    return f"({_edits(f'{length} + ({longest})', threshold)} + 1)"
+    return f"(CAST({length} AS BIGINT) * {200 * SCALE - t} DIV {t})"
+
+
+def _needed(length: str, threshold: float) -> str:
+    """Pieces of which one survives: one more than the edits allowed between a
+    text of this length and the longest that can be alike to it."""
+    return f"({_edits(f'{length} + {_longest(length, threshold)}', threshold)} + 1)"
 
 
-_CUT = "CAST({number} * cut_of DIV cuts AS INT)"
-_BEGIN, _END = _CUT.format(number="number"), _CUT.format(number="(number + 1)")
+def _piece_size(length: str, threshold: float) -> str:
+    """As long as enough pieces are left, and half as many again to choose from
+    as long as they do not get shorter than PIECE for it."""
+    needed = _needed(length, threshold)
+    return f"CAST(greatest(1, least({length} DIV {needed}, greatest({PIECE}, 2 * {length} DIV (3 * {needed})))) AS INT)"
 
 
 def segmentable(threshold: float) -> bool:
@@ -117,50 +124,52 @@ def segmentable(threshold: float) -> bool:
     return 3 * scaled(threshold) > 200 * SCALE
 
 
-def _own_segments(texts: DataFrame, threshold: float, role: int) -> DataFrame:
-    """Each text cut into its segments."""
+def _chunks(texts: DataFrame, threshold: float) -> DataFrame:
+    """Each text cut into pieces without overlap; what is left at its end is no piece."""
     return texts.sparkSession.sql(
         f"""
-        SELECT block, ord, key, counts, xxhash64(block, cut_of, number,
-            substr(key, {_BEGIN} + 1, {_END} - {_BEGIN}), {role}) AS signature
-        FROM (SELECT *, length(key) AS cut_of, {_cuts('length(key)', threshold)} AS cuts FROM {{texts}})
-        LATERAL VIEW explode(sequence(0L, cuts - 1)) AS number""",
+        SELECT block, ord, size, counts, needed, at, xxhash64(block, width, substr(key, at + 1, width)) AS signature
+        FROM (SELECT block, ord, key, counts, length(key) AS size, {_needed('length(key)', threshold)} AS needed,
+                {_piece_size('length(key)', threshold)} AS width FROM {{texts}})
+        LATERAL VIEW explode(CASE WHEN size >= width AND needed > 1 THEN sequence(0, size - width, width) END) AS at""",
         texts=texts,
     )
 
 
-def _near_segments(texts: DataFrame, threshold: float, longest: str, role: int) -> DataFrame:
-    """Pieces of each text that could be a segment of an equal or shorter one.
-
-    With k edits overall, some segment number i is intact with exactly i edits
-    before it and at most k - i behind it. The edits before it shift it by d,
-    |d| <= i and of the same parity as i; the rest must make up the remaining
-    difference in length. Edits and difference in length agree in parity.
-    """
+def _grams(texts: DataFrame, threshold: float) -> DataFrame:
+    """All pieces of each text, overlaps included, of every width that a text alike to it may be cut by."""
     t = scaled(threshold)
-    rest = 200 * SCALE - t
-    limit = _edits("size + cut_of", threshold)
+    shortest = f"greatest(1, CAST((CAST(size AS BIGINT) * {t} + {200 * SCALE - t - 1}) DIV {200 * SCALE - t} AS INT))"
+    widths = f"array_distinct(transform(sequence(shortest, CAST(longest AS INT)), other -> {_piece_size('other', threshold)}))"
     return texts.sparkSession.sql(
         f"""
-        SELECT block, ord, key, counts, xxhash64(block, cut_of, number,
-            substr(key, CAST({_BEGIN} + shift + 1 AS INT), {_END} - {_BEGIN}), {role}) AS signature
-        FROM (
-          SELECT block, ord, key, counts, size, cut_of, gap, cuts, {limit} - pmod({limit} - gap, 2) AS edits
-          FROM (
-            SELECT *, CAST(size - cut_of AS BIGINT) AS gap, {_cuts('cut_of', threshold)} AS cuts
-            FROM (SELECT *, length(key) AS size, CAST(greatest(1,
-                    (CAST(length(key) AS BIGINT) * {t} + {rest - 1}) DIV {rest}) AS INT) AS shortest
-                  FROM {{texts}})
-            LATERAL VIEW explode(CASE WHEN shortest <= {longest} THEN sequence(shortest, {longest}) END)
-              AS cut_of))
-        LATERAL VIEW explode(CASE WHEN edits >= gap THEN sequence(0L, edits) END) AS number
-        LATERAL VIEW explode(sequence(-number, number, 2L)) AS shift
-        WHERE abs(gap - shift) <= edits - number
-          AND {_BEGIN} + shift >= 0 AND {_END} + shift <= size""",
+        SELECT block, ord, size, counts, at, xxhash64(block, width, substr(key, at + 1, width)) AS signature
+        FROM (SELECT *, {shortest} AS shortest, {_longest('size', threshold)} AS longest
+              FROM (SELECT block, ord, key, counts, length(key) AS size FROM {{texts}}))
+        LATERAL VIEW explode(CASE WHEN shortest <= longest THEN {widths} END) AS width
+        LATERAL VIEW explode(CASE WHEN size >= width THEN sequence(0, size - width) END) AS at""",
         texts=texts,
     )
 
 
+def _rarest(chunks: DataFrame, grams: DataFrame) -> DataFrame:
+    """Of each text the pieces that the fewest pieces of the other side equal.
+
+    Pieces are counted by block; a piece that nothing equals is the rarest of
+    all, and may be one of those needed.
+    """
+    met = grams.groupBy("signature").agg(row_count().alias("often"))
+    spots = chunks.join(met, "signature", "left").groupBy("block", "ord", "size", "counts", "needed").agg(
+        F.sort_array(
+            F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "signature", "at"))
+        ).alias("spots")
+    )
+    chosen = F.filter(
+        F.slice("spots", F.lit(1), F.col("needed").cast("int")), lambda spot: spot["often"] > 0
+    )
+    return spots.select("block", "ord", "size", "counts", F.inline(chosen))
+
+
 def _rare_characters(texts: DataFrame, threshold: float) -> DataFrame:
     """Prefix filter over characters, for thresholds that segments do not cover.
 
@@ -183,44 +192,59 @@ def _rare_characters(texts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _signatures(earlier: DataFrame, later: DataFrame, threshold: float):
-    """Both sides keyed by what a segment of the one shares with a piece of the
-    other. Equal keys of different segments only cost a candidate: every pair is
-    verified afterwards."""
-    if not segmentable(threshold):
-        # too many edits allowed for a segment to survive
-        return _rare_characters(earlier, threshold), _rare_characters(later, threshold)
-    # the shorter text is the one cut up; texts of one length meet only once
-    left = _own_segments(earlier, threshold, 0).unionAll(
-        _near_segments(earlier, threshold, "size - 1", 1)
-    )
-    right = _own_segments(later, threshold, 1).unionAll(
-        _near_segments(later, threshold, "size", 0)
-    )
-    return left, right
+def _met_on_pieces(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a_..., b_...) that share one of the rarest pieces near its place.
+
+    With D edits and a difference in length of g, a piece is shifted by what is
+    inserted before it less what is deleted: at most half of D + g in the one
+    direction and of D - g in the other.
+    """
+    grams = write_out(_grams(earlier, threshold), "grams")
+    a = grams.select("signature", F.col("at").alias("a_at"), *_looks("a"))
+    b = _rarest(_chunks(later, threshold), grams).select("signature", F.col("at").alias("b_at"), *_looks("b"))
+    shift, gap = F.col("a_at") - F.col("b_at"), F.col("a_size") - F.col("b_size")
+    limit = allowed_edits(F.col("a_size") + F.col("b_size"), threshold)
+    return a.join(b, "signature").filter((2 * shift <= limit + gap) & (-2 * shift <= limit - gap))
 
 
-def similar_pairs(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (block, src, dst), src before dst, scoring at or above the threshold.
+def _met_on_characters(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    sides = [
+        _rare_characters(texts, threshold).withColumn("size", F.length("key")).select("signature", *_looks(side))
+        for texts, side in ((earlier, "a"), (later, "b"))
+    ]
+    return sides[0].join(sides[1], "signature")
+
+
+def candidates(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (block, a_ord, b_ord), each once, that have to be looked at.
 
-    Both inputs hold (block, ord, key), keys not empty and distinct per block.
-    Character counts rule out most candidates. Edit distance then brackets the
-    number of insertions and deletions from below and above, which settles most
-    of the rest inside the JVM; only pairs in between are scored exactly. A pair that
-    meets on several segments is looked at once.
+    Equal signatures of different pieces only cost a candidate: every pair is
+    verified afterwards. Texts stay behind: pieces travel with their row, its
+    length and character counts only.
     """
-    left, right = _signatures(_with_counts(earlier), _with_counts(later), threshold)
-    # texts stay behind: pieces travel with their row, its length and counts only
-    a = left.select("signature", *_looks("a"))
-    b = right.select("signature", *_looks("b"))
+    earlier, later = _with_counts(earlier), _with_counts(later)
+    # below two thirds too many edits are allowed for a piece to survive
+    met = (_met_on_pieces if segmentable(threshold) else _met_on_characters)(earlier, later, threshold)
     limit = allowed_edits(F.col("a_size") + F.col("b_size"), threshold)
-    met = a.join(b, "signature").filter(
+    met = met.filter(
         (F.col("a_block") == F.col("b_block"))
         & (F.col("a_ord") < F.col("b_ord"))
         & (F.abs(F.col("a_size") - F.col("b_size")) <= limit)
         & (_differing_counts() <= limit)
     )
-    met = met.select(F.col("a_block").alias("block"), "a_ord", "b_ord").distinct()
+    return met.select(F.col("a_block").alias("block"), "a_ord", "b_ord").distinct()
+
+
+def similar_pairs(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (block, src, dst), src before dst, scoring at or above the threshold.
+
+    Both inputs hold (block, ord, key), keys not empty and distinct per block;
+    they are read more than once: hand in written tables. Character counts rule
+    out most candidates. Edit distance then brackets the number of insertions and
+    deletions from below and above, which settles most of the rest; only pairs in
+    between are scored exactly. All of it stays in the JVM.
+    """
+    met = candidates(earlier, later, threshold)
     a_text = earlier.select("block", F.col("ord").alias("a_ord"), F.col("key").alias("a_key"))
     b_text = later.select("block", F.col("ord").alias("b_ord"), F.col("key").alias("b_key"))
     pairs = met.join(a_text, ["block", "a_ord"]).join(b_text, ["block", "b_ord"])
@@ -231,11 +255,9 @@ def similar_pairs(earlier: DataFrame, later: DataFrame, threshold: float) -> Dat
     )
     pairs = pairs.withColumn("limit", allowed_edits(sizes, threshold))
     pairs = pairs.withColumn("distance", distance).filter(F.col("distance") >= 0)
-    unsure = 2 * F.col("distance") - gap > F.col("limit")
-    pairs = pairs.withColumn(
-        "lcs", lcs_length(F.when(unsure, F.col("a_key")), F.when(unsure, F.col("b_key")))
+    alike = F.when(2 * F.col("distance") - gap <= F.col("limit"), True).otherwise(
+        sizes - 2 * lcs_length(F.col("a_key"), F.col("b_key")) <= F.col("limit")
     )
-    alike = F.col("lcs").isNull() | (sizes - 2 * F.col("lcs") <= F.col("limit"))
     return pairs.filter(alike).select(
         "block", F.col("a_ord").alias("src"), F.col("b_ord").alias("dst")
     )
@@ -277,42 +299,70 @@ def _batch_of(position: Column, first_batch: int, growth: int) -> Column:
 # ------------------------------------------------------------------- decision
 
 
-def _settle_small(threshold: float):
-    """The rule on one block's first batch, at most ``first_batch`` rows."""
-    exact = scaled(threshold)
+@dataclass
+class Settling:
+    """What a settlement took: batches, rounds over large components, and labels passed on to find these."""
 
-    def settle_block(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ord", ignore_index=True)
-        keys = rows["key"].to_numpy(dtype=object)
-        sizes = np.array([len(k) for k in keys], dtype=np.int64)
-        stands = np.ones(len(rows), dtype=bool)
-        for i in range(len(rows)):
-            if not stands[i]:
-                continue
-            totals = sizes + sizes[i]
-            reachable = 200 * SCALE * np.minimum(sizes, sizes[i]) >= exact * totals
-            later = np.flatnonzero(stands & reachable & (np.arange(len(rows)) > i))
-            if len(later):
-                lcs = lcs_of_pairs([keys[i]] * len(later), list(keys[later]))
-                stands[later[200 * SCALE * lcs.astype(np.int64) >= exact * totals[later]]] = False
-        return rows[stands]
+    batches: int = 0
+    rounds: int = 0
+    label_steps: int = 0
 
-    return settle_block
 
+def _replayed(group: pd.DataFrame) -> pd.DataFrame:
+    """The rule on edges that hang together, in order."""
+    lost = set()
+    for src, dst in sorted(zip(group["src"].tolist(), group["dst"].tolist())):
+        if src not in lost:
+            lost.add(dst)
+    return pd.DataFrame({"block": group["block"].iloc[0], "ord": sorted(lost)}).astype({"ord": "int64"})
 
-def first_wins(edges: DataFrame) -> DataFrame:
-    """Rows (block, ord) removed when earlier rows win, given all edges
-    (block, src, dst) between rows not yet decided. One written table a round."""
-    edges, left = write_out_with(edges.distinct(), "edges", row_count())
-    gone = edges.select("block", F.col("dst").alias("ord")).limit(0)
+
+_GONE = "block string, ord long"
+
+
+def _components(edges: DataFrame, told: Settling) -> DataFrame:
+    """(block, ord, label): rows with an edge, labelled by the least row of their component.
+
+    A step gives each row the least label of its neighbours, and then the label
+    of that label's row; so labels travel twice as far with every step.
+    """
+    both = edges.select("block", F.col("src").alias("ord"), F.col("dst").alias("other")).union(
+        edges.select("block", "dst", "src")
+    )
+    both = write_out(both, "neighbours")
+    labels = both.groupBy("block", "ord").agg(F.least("ord", F.min("other")).alias("label"))
+    changed = 1
+    while changed:
+        labels = write_out(labels, "labels")
+        told.label_steps += 1
+        near = both.join(labels.select("block", F.col("ord").alias("other"), "label"), ["block", "other"])
+        least = near.groupBy("block", "ord").agg(F.min("label").alias("near"))
+        stepped = labels.join(least, ["block", "ord"]).select(
+            "block", "ord", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        )
+        stepped = write_out(stepped, "label-step")
+        onward = stepped.select("block", F.col("ord").alias("label"), F.col("label").alias("onward"))
+        jumped = stepped.join(onward, ["block", "label"], "left").select(
+            "block", "ord", "old", F.least("label", "onward").alias("label")
+        )
+        labels, changed = write_out_with(jumped, "labels", F.count_if(F.col("label") != F.col("old")))
+        labels = labels.drop("old")
+    return labels
+
+
+def _in_rounds(edges: DataFrame, told: Settling) -> DataFrame:
+    """Rows lost, round by round; one written table a round."""
+    gone = []
+    left = 1
     while left:
+        told.rounds += 1
         beaten = edges.select("block", F.col("dst").alias("src")).distinct()
         stay = edges.select("block", "src").distinct().join(
             beaten, ["block", "src"], "left_anti"
         )
         lost = edges.join(stay, ["block", "src"], "left_semi").select("block", "dst").distinct()
-        lost = lost.withColumnRenamed("dst", "ord")
-        gone = gone.unionByName(lost)
+        lost = write_out(lost.withColumnRenamed("dst", "ord"), "lost")
+        gone.append(lost)
         edges, left = write_out_with(
             edges.join(lost.withColumnRenamed("ord", "src"), ["block", "src"], "left_anti").join(
                 lost.withColumnRenamed("ord", "dst"), ["block", "dst"], "left_anti"
@@ -320,7 +370,43 @@ def first_wins(edges: DataFrame) -> DataFrame:
             "edges",
             row_count(),
         )
-    return gone
+    return functools.reduce(DataFrame.unionByName, gone)
+
+
+def first_wins(edges: DataFrame, replayed: int = REPLAYED, told: Settling | None = None) -> DataFrame:
+    """Rows (block, ord) removed when earlier rows win, given all edges
+    (block, src, dst) between rows not yet decided.
+
+    The number of jobs does not depend on how long chains are, unless more than
+    `replayed` edges hang together.
+    """
+    told = told or Settling()
+    edges, n_edges = write_out_with(edges.distinct(), "edges", row_count())
+    if not n_edges:
+        return edges.select("block", F.col("dst").alias("ord"))
+    sizes = edges.groupBy("block").agg(row_count().alias("n"))
+    large, n_large = write_out_with(sizes.filter(F.col("n") > replayed), "large-blocks", row_count())
+    if not n_large:
+        return edges.groupBy("block").applyInPandas(_replayed, _GONE)
+    few = edges.join(large, "block", "left_anti").groupBy("block").applyInPandas(_replayed, _GONE)
+    crowded = write_out(edges.join(large.select("block"), "block", "left_semi"), "crowded-blocks")
+    labels = _components(crowded, told)
+    crowded = write_out(
+        crowded.join(labels.select("block", F.col("ord").alias("src"), "label"), ["block", "src"]), "labelled-edges"
+    )
+    grown, n_grown = write_out_with(
+        crowded.groupBy("block", "label").agg(row_count().alias("n")).filter(F.col("n") > replayed).drop("n"),
+        "large-components",
+        row_count(),
+    )
+    few = few.unionByName(
+        crowded.join(grown, ["block", "label"], "left_anti")
+        .groupBy("block", "label")
+        .applyInPandas(_replayed, _GONE)
+    )
+    if n_grown:
+        few = few.unionByName(_in_rounds(crowded.join(grown, ["block", "label"], "left_semi").drop("label"), told))
+    return few
 
 
 def match_keys(df: DataFrame, block_by: str) -> DataFrame:
@@ -342,8 +428,10 @@ def settle(
     threshold: float,
     first_batch: int = FIRST_BATCH,
     growth: int = BATCH_GROWTH,
+    told: Settling | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All keys numbered, and those that stay; both (block, ord, key, row_id)."""
+    told = told or Settling()
     numbered = _number_in_block(keys).select(
         "block",
         "ord",
@@ -353,19 +441,17 @@ def settle(
     )
     numbered, last = write_out_with(numbered, "keys", F.max("batch"))
     everything = numbered.drop("batch")
-    first = everything.filter(numbered["batch"] == 0)
-    kept = write_out(
-        first.groupBy("block").applyInPandas(_settle_small(threshold), first.schema), "kept"
-    )
-    for batch in range(1, (last or 0) + 1):
+    kept = None
+    for batch in range((last or 0) + 1):
+        told.batches += 1
         current = numbered.filter(F.col("batch") == batch).drop("batch")
-        taken = similar_pairs(kept, current, threshold)
-        taken = taken.select("block", F.col("dst").alias("ord")).distinct()
-        current = write_out(current.join(taken, ["block", "ord"], "left_anti"), "current")
-        removed = first_wins(similar_pairs(current, current, threshold))
-        kept = kept.unionByName(
-            write_out(current.join(removed, ["block", "ord"], "left_anti"), "kept")
-        )
+        if kept is not None:
+            taken = similar_pairs(kept, current, threshold)
+            taken = taken.select("block", F.col("dst").alias("ord")).distinct()
+            current = write_out(current.join(taken, ["block", "ord"], "left_anti"), "current")
+        removed = first_wins(similar_pairs(current, current, threshold), told=told)
+        stays = write_out(current.join(removed, ["block", "ord"], "left_anti"), "kept")
+        kept = stays if kept is None else kept.unionByName(stays)
     return everything, kept
 
 
@@ -375,15 +461,17 @@ def dedup_fuzzy(
     threshold: float = 92,
     first_batch: int = FIRST_BATCH,
     growth: int = BATCH_GROWTH,
+    told: Settling | None = None,
 ) -> DataFrame:
     """Drop the id-less rows that an earlier row of their block is alike to.
 
-    ``df`` is read more than once: hand in a written table.
+    ``df`` is read more than once: hand in a written table. ``told`` is filled
+    with what the settlement took.
     """
     if block_by not in df.columns:
         return df
     compared = ~has_any_id(df.columns) & F.col(block_by).isNotNull()
-    _, kept = settle(match_keys(df, block_by), threshold, first_batch, growth)
+    _, kept = settle(match_keys(df, block_by), threshold, first_batch, growth, told)
     return df.filter(~compared).unionByName(
         df.filter(compared).join(kept.select(ROW_ID), ROW_ID, "left_semi").select(*df.columns)
     )
