@@ -11,15 +11,15 @@ PIECE_BYTES = 1 << 19
 PIECE_ROWS = 1024
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with up to `limit` bytes in the column and PIECE_ROWS rows; a longer value is a slice alone."""
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with up to `limit` bytes in the column and `rows` rows; a longer value is a slice alone."""
     sizes = batch.column(column)
     sizes = pa.compute.binary_length(sizes).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)
     low = 0
     while low < len(batch):
         before = ends[low - 1] if low else 0
-        high = max(low + 1, min(low + PIECE_ROWS, int(np.searchsorted(ends, before + limit, side="right"))))
+        high = max(low + 1, min(low + rows, int(np.searchsorted(ends, before + limit, side="right"))))
         yield batch.slice(low, high - low)
         low = high
     pa.default_memory_pool().release_unused()  # workers live on after their task

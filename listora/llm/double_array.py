@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _TRIED = 64  # bases that are tried at once
+_PATIENCE = 4  # times this is done before there is more room
+_LARGE = 8  # children from which a state is placed by itself
 ROOT = 0
 
 
@@ -45,6 +47,7 @@ class DoubleArray:
         self.check[ROOT] = ROOT
         taken = np.zeros(room, bool)
         taken[ROOT] = True
+        draw = np.random.default_rng(0)  # the same trie each time
         state = np.zeros(len(rows), np.int64)  # of each phrase, level by level
         for level in range(self.depth):
             if not len(rows):
@@ -54,38 +57,72 @@ class DoubleArray:
             parent, child = state[first], symbol[first]
             start = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
             count = np.diff(np.append(start, len(parent)))
-            low = 1
-            for at in np.argsort(-count, kind="stable"):
+            large = np.flatnonzero(count > _LARGE)
+            for at in large[np.argsort(-count[large], kind="stable")]:
                 symbols = child[start[at] : start[at] + count[at]].astype(np.int64)
-                low = self._place(parent[start[at]], symbols, taken, low)
+                self._place(parent[start[at]], symbols, taken, draw)
+            some = np.flatnonzero((count > 1) & (count <= _LARGE))
+            self._scatter(parent[start[some]], start[some], count[some], child, taken, draw)
+            single = start[count == 1]  # any free slot does
+            free = np.flatnonzero(~taken)[: len(single)]
+            if len(free) < len(single):
+                free = np.concatenate([free, len(taken) + np.arange(len(single) - len(free))])
+                self._widen(taken, int(free[-1]) + _TRIED)
+            self.base[parent[single]] = free - child[single]
+            self.check[free] = parent[single]
+            taken[free] = True
             reached = self.base[parent] + child
             state = np.repeat(reached, np.diff(np.append(first, len(rows)))).astype(np.int64)
         self.phrase_of = np.full(len(self.check), -1, np.int32)
         if len(rows):
             self.phrase_of[state] = order
 
-    def _place(self, parent: int, symbols: np.ndarray, taken: np.ndarray, low: int) -> int:
-        """Gives a state the first base found at which all its children are free; slots below `low` are all taken."""
-        while low < len(taken) and taken[low]:
-            low += 1
-        base = low - int(symbols[0])
+    def _scatter(self, parents: np.ndarray, start: np.ndarray, count: np.ndarray, child: np.ndarray, taken: np.ndarray, draw: np.random.Generator) -> None:
+        """Gives many states a base at once: all draw one, and those whose slots are free and nobody else's have it."""
+        room = len(taken) + 2 * int(count.sum())
+        self._widen(taken, room)
+        while len(parents):
+            owner = np.repeat(np.arange(len(parents)), count)
+            spot = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            symbols = child[np.repeat(start, count) + spot].astype(np.int64)
+            lowest, highest = child[start].astype(np.int64), child[start + count - 1].astype(np.int64)
+            base = 1 - lowest + (draw.random(len(parents)) * (room - 1 - (highest - lowest))).astype(np.int64)
+            slots = base[owner] + symbols
+            _, first = np.unique(slots, return_index=True)
+            fine = np.zeros(len(slots), bool)
+            fine[first] = True
+            fine &= ~taken[slots]
+            settled = np.bincount(owner[~fine], minlength=len(parents)) == 0
+            mine = settled[owner]
+            self.base[parents[settled]] = base[settled]
+            self.check[slots[mine]] = parents[owner[mine]]
+            taken[slots[mine]] = True
+            parents, start, count = parents[~settled], start[~settled], count[~settled]
+
+    def _widen(self, taken: np.ndarray, room: int) -> None:
+        self.base = np.concatenate([self.base, np.zeros(room - len(taken), np.int32)])
+        self.check = np.concatenate([self.check, np.full(room - len(taken), -1, np.int32)])
+        taken.resize(room, refcheck=False)
+
+    def _place(self, parent: int, symbols: np.ndarray, taken: np.ndarray, draw: np.random.Generator) -> None:
+        """Gives a state with many children a base at which all of them are free, in more room where none is found."""
+        lowest, highest = int(symbols[0]), int(symbols[-1])
+        tries = 0
         while True:
-            base = max(base, 1 - int(symbols[0]))
-            bases = np.arange(base, base + _TRIED)
+            room = len(taken) - 1 - (highest - lowest)
+            bases = 1 - lowest + (draw.random(_TRIED) * max(room, 1)).astype(np.int64)
             slots = bases[:, None] + symbols[None, :]
-            if slots[-1, -1] >= len(taken):
-                more = int(slots[-1, -1]) + len(taken)
-                self.base = np.concatenate([self.base, np.zeros(more - len(taken), np.int32)])
-                self.check = np.concatenate([self.check, np.full(more - len(taken), -1, np.int32)])
-                taken.resize(more, refcheck=False)
-            free = np.flatnonzero(~taken[slots].any(axis=1))
-            if len(free):
-                chosen = slots[free[0]]
-                self.base[parent] = bases[free[0]]
-                self.check[chosen] = parent
-                taken[chosen] = True
-                return low
-            base += _TRIED
+            if slots.max() < len(taken):
+                free = np.flatnonzero(~taken[slots].any(axis=1))
+                if len(free):
+                    chosen = slots[free[0]]
+                    self.base[parent] = bases[free[0]]
+                    self.check[chosen] = parent
+                    taken[chosen] = True
+                    return
+            tries += 1
+            if tries % _PATIENCE == 0 or room < 1:
+                self._widen(taken, len(taken) + len(taken) // 4 + highest)
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of word symbols in this trie, 0 for those it does not have."""

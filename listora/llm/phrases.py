@@ -30,6 +30,8 @@ from listora.session import row_count, write_out, write_out_with
 LONGEST = 5  # words in a phrase
 LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases of a language in the report
+TOGETHER = 4 << 20  # bytes of text that are numbered together
+ROWS = 1 << 15  # phrases in an Arrow batch
 SHARD = 200_000  # phrases of a trie, some 20 MB at most
 NO_LANGUAGE = "und"
 
@@ -59,29 +61,33 @@ _SEQUENCES = "lang string, n_words long, n_distinct long, words binary, words_by
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each language of an Arrow batch: its words, their symbols and counts, and the texts as word numbers."""
+    """A row for each language of some texts together: its words, their symbols and counts, and the texts as word numbers."""
     for batch in batches:
-        numbers: dict[str, _Numbers] = {}
-        parts: dict[str, list[np.ndarray]] = {}
-        for piece in pieces(batch, "text"):
-            for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text"), strict=True):
-                known = numbers.setdefault(lang, _Numbers())
-                tokens = _tokens(text.as_py())
-                tokens.append(_END)
-                parts.setdefault(lang, []).append(np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens)))
-        rows = []
-        for lang, known in numbers.items():
-            ids = np.concatenate(parts.pop(lang))
-            counts = np.bincount(ids, minlength=len(known)).astype(np.int64)
-            counts[0] = 0
-            seed = xxhash.xxh64_intdigest(lang.encode())
-            symbols = np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in known), np.uint64, len(known))
-            told = b"\n".join(known)  # a separator too
-            rows.append((lang, int(counts.sum()), len(known), pa.compress(told, codec="zstd", asbytes=True), len(told), pack(symbols), pack(counts), len(ids), pack(ids)))
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-        names = [field.split()[0] for field in _SEQUENCES.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=names)
-        pa.default_memory_pool().release_unused()
+        for part in pieces(batch, "text", TOGETHER, len(batch)):
+            yield _numbered(part)
+
+
+def _numbered(batch: pa.RecordBatch) -> pa.RecordBatch:
+    numbers: dict[str, _Numbers] = {}
+    parts: dict[str, list[np.ndarray]] = {}
+    for piece in pieces(batch, "text"):
+        for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text"), strict=True):
+            known = numbers.setdefault(lang, _Numbers())
+            tokens = _tokens(text.as_py())
+            tokens.append(_END)
+            parts.setdefault(lang, []).append(np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens)))
+    rows = []
+    for lang, known in numbers.items():
+        ids = np.concatenate(parts.pop(lang))
+        counts = np.bincount(ids, minlength=len(known)).astype(np.int64)
+        counts[0] = 0
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        symbols = np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in known), np.uint64, len(known))
+        told = b"\n".join(known)  # a separator too
+        rows.append((lang, int(counts.sum()), len(known), pa.compress(told, codec="zstd", asbytes=True), len(told), pack(symbols), pack(counts), len(ids), pack(ids)))
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+    names = [field.split()[0] for field in _SEQUENCES.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
 
 def sequences(docs: DataFrame) -> DataFrame:
@@ -111,11 +117,16 @@ def frequent_words(texts: DataFrame, least: int) -> DataFrame:
 _COUNTED = "phrase array<long>, n long, counted boolean"
 
 
-def _phrase_rows(symbols: np.ndarray, n: np.ndarray, counted: bool) -> pa.RecordBatch:
-    size, width = symbols.shape
-    offsets = pa.array(np.arange(size + 1, dtype=np.int32) * width)
-    lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(symbols).view(np.int64).ravel()))
-    return pa.RecordBatch.from_arrays([lists, pa.array(n, pa.int64()), pa.array(np.full(size, counted))], names=["phrase", "n", "counted"])
+def _phrase_rows(symbols: np.ndarray, n: np.ndarray, counted: bool) -> Iterator[pa.RecordBatch]:
+    """Small batches: the JVM holds each as a whole."""
+    for low in range(0, len(n), ROWS):
+        part = symbols[low : low + ROWS]
+        size, width = part.shape
+        offsets = pa.array(np.arange(size + 1, dtype=np.int32) * width)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(part).view(np.int64).ravel()))
+        yield pa.RecordBatch.from_arrays(
+            [lists, pa.array(n[low : low + ROWS], pa.int64()), pa.array(np.full(size, counted))], names=["phrase", "n", "counted"]
+        )
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -129,7 +140,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for symbols, ids in _unpacked(batches):
         both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         pairs, n = np.unique(ids[both].astype(np.int64) << 32 | ids[both + 1], return_counts=True)
-        yield _phrase_rows(np.stack([symbols[pairs >> 32], symbols[pairs & 0xFFFFFFFF]], axis=1), n, False)
+        yield from _phrase_rows(np.stack([symbols[pairs >> 32], symbols[pairs & 0xFFFFFFFF]], axis=1), n, False)
 
 
 def _walked(trie: Broadcast, onward: bool):
@@ -143,14 +154,14 @@ def _walked(trie: Broadcast, onward: bool):
             at, state = known.walk(numbers[ids])
             counts = np.bincount(state, minlength=len(known.check))
             seen = np.flatnonzero(counts)
-            yield _phrase_rows(known.phrases[known.phrase_of[seen]].reshape(-1, known.depth), counts[seen], True)
+            yield from _phrase_rows(known.phrases[known.phrase_of[seen]].reshape(-1, known.depth), counts[seen], True)
             if onward:
                 inside = at + known.depth < len(ids)
                 at, state = at[inside], state[inside]
                 follower = ids[at + known.depth].astype(np.int64)
                 pairs, n = np.unique((state[follower > 0] << 32) | follower[follower > 0], return_counts=True)
                 longer = np.concatenate([known.phrases[known.phrase_of[pairs >> 32]], symbols[pairs & 0xFFFFFFFF][:, None]], axis=1)
-                yield _phrase_rows(longer.reshape(-1, known.depth + 1), n, False)
+                yield from _phrase_rows(longer.reshape(-1, known.depth + 1), n, False)
 
     return run
 
