@@ -18,7 +18,7 @@ from listora.plans.oracle_blocks import NO_ID, compose, guard, has, lcs, settle
 from listora.session import prepare, scratch_path, write_out
 from listora.settings import Settings
 from listora.sources import files, sinks
-from listora.streaming import ingest
+from listora.streaming import ingest, latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +117,14 @@ def stream_ingest(spark, sf_dir):
     return ingest.drain(enrich.enrich(clean.clean(typed)).select(*STREAM_COLUMNS))
 
 
+@query("stream_latest", "SELECT row_id, place_id, cid, name, zip_code FROM x_typed_place")
+def stream_latest(spark, sf_dir):
+    """The latest listing of each place, kept on a stream of events."""
+    events = ingest.stream_parquet(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet")
+    typed = normalize.coerce_types(listings(spark, sf_dir, events))
+    return id_columns(latest.drain_latest(typed, "place_id"))
+
+
 SINK_COLUMNS = "row_id name category_normalized has_website days_open_per_week price_bucket"
 
 
