@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from listora.functions.json_text import strict_json
 from listora.functions.numbers import settled
 from listora.operators.categories import snippet
 from listora.operators.exchange import keyed_requests, with_replies
 from listora.operators.features import feature_matrix
+from listora.operators.nearest import assign_nearest
 from listora.operators.prompts import (
     BRIEF_SYSTEM,
     SEGMENT_SYSTEM,
@@ -25,6 +21,7 @@ from listora.operators.prompts import (
     stat_lines,
 )
 from listora.schema import ROW_ID
+from listora.session import write_out
 from listora.settings import Settings
 
 LABEL_REPLY = "segment_name string, segment_description string"
@@ -33,7 +30,6 @@ BRIEF_REPLY = (
     "estimated_deal_rationale string"
 )
 UNKNOWN_TIER = "Unknown"  # fixed value: tier where the brief cannot be read
-MAX_CENTROIDS = 10_000  # centroids are shipped to every task
 
 
 # ------------------------------------------------------------------ clustering
@@ -47,7 +43,7 @@ def fit_segments(df: DataFrame, settings: Settings = Settings()) -> tuple[DataFr
     starting points and sums, and with them the segments, do not depend on how
     the table came to be partitioned.
     """
-    matrix = feature_matrix(df, settings)
+    matrix = write_out(feature_matrix(df, settings), "matrix")  # else each pass would weigh the terms anew
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = matrix.select(ROW_ID, "features").repartition(parts, ROW_ID).sortWithinPartitions(ROW_ID)
     model = KMeans(
@@ -89,37 +85,6 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     return means.groupBy("cluster_id").agg(ordered.getField("value").alias("centroid"))
 
 
-def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
-    """Add ``cluster_id`` and ``distance2``, the lowest id winning a tie.
-
-    ``centers`` has k rows, k being a setting and checked here.
-    """
-    table = centers.orderBy("cluster_id").limit(MAX_CENTROIDS + 1).toPandas()
-    if len(table) > MAX_CENTROIDS:
-        raise ValueError("too many centroids to ship to every task")
-    ids = table["cluster_id"].to_numpy(dtype=np.int64)
-    points = np.stack(table["centroid"].map(lambda c: np.asarray(c, dtype=np.float64)).to_list())
-
-    found = T.StructType(
-        [T.StructField("cluster_id", T.LongType()), T.StructField("distance2", T.DoubleType())]
-    )
-
-    @F.pandas_udf(found)
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vectors in batches:
-            if len(vectors) == 0:
-                yield pd.DataFrame({"cluster_id": [], "distance2": []})
-                continue
-            rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-            distance = np.stack([((rows - p) ** 2).sum(axis=1) for p in points], axis=1)
-            best = distance.argmin(axis=1)
-            yield pd.DataFrame(
-                {"cluster_id": ids[best], "distance2": distance[np.arange(len(rows)), best]}
-            )
-
-    return df.withColumn("_found", nearest(F.col(vector))).select("*", "_found.*").drop("_found")
-
-
 # ------------------------------------------------------------------- summaries
 
 
