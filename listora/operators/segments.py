@@ -11,7 +11,7 @@ from listora.functions.json_text import strict_json
 from listora.functions.numbers import settled
 from listora.operators.categories import snippet
 from listora.operators.exchange import keyed_requests, with_replies
-from listora.operators.features import feature_matrix
+from listora.operators.features import Encode, feature_matrix
 from listora.operators.nearest import assign_nearest
 from listora.operators.prompts import (
     BRIEF_SYSTEM,
@@ -35,15 +35,20 @@ UNKNOWN_TIER = "Unknown"  # fixed value: tier where the brief cannot be read
 # ------------------------------------------------------------------ clustering
 
 
-def fit_segments(df: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, KMeansModel]:
-    """Add ``cluster_id`` by k-means over all rows. ``df`` is read once per
-    iteration: hand in a written table.
+def fit_segments(
+    df: DataFrame,
+    settings: Settings = Settings(),
+    vectors: DataFrame | None = None,
+    encode: Encode | None = None,
+) -> tuple[DataFrame, KMeansModel]:
+    """Add ``cluster_id`` by k-means over all rows. ``df`` is read more than once:
+    hand in a written table. Text vectors: see ``features.feature_matrix``.
 
     Rows are dealt by their id and ordered in each part before the fit, so that
     starting points and sums, and with them the segments, do not depend on how
     the table came to be partitioned.
     """
-    matrix = write_out(feature_matrix(df, settings), "matrix")  # else each pass would weigh the terms anew
+    matrix = write_out(feature_matrix(df, settings, vectors, encode), "matrix")  # else each pass would weigh the terms anew
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = matrix.select(ROW_ID, "features").repartition(parts, ROW_ID).sortWithinPartitions(ROW_ID)
     model = KMeans(

@@ -546,6 +546,30 @@ def feature_matrix(spark, sf_dir):
     )
 
 
+@query("feature_matrix_vectors", f"""
+SELECT row_id, len(embedding) + {len(S.numeric_features)} AS n_features,
+  round({S.text_weight} * sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 4) AS text_length, {Z_SCORES}
+FROM e_clean e JOIN embeddings v ON v.vec_id = ('0x' || left(md5(concat_ws(' | ', {', '.join(f"coalesce({f}, '')" for f in S.text_features)})), 6))::INT
+  % (SELECT count(*) FROM embeddings)""")
+def feature_matrix_vectors(spark, sf_dir):
+    """The given embeddings as text part: each text has the one its digest points at."""
+    rows = cluster_input(spark, sf_dir)
+    given = table(spark, sf_dir, "embeddings")
+    texts = features.distinct_texts(rows.select(features.combined_text(S.text_features).alias("text")), "text")
+    pointed = F.conv(F.left(F.md5("text"), F.lit(6)), 16, 10).cast("long") % given.count()
+    vectors = texts.withColumn("vec_id", pointed).join(given, "vec_id").select(
+        features.digest(F.col("text")).alias("digest"), F.col("embedding").alias("vector")
+    )
+    vector = vector_to_array("features")
+    n_text = F.size(vector) - len(S.numeric_features)
+    return features.feature_matrix(rows, vectors=vectors).select(
+        "row_id",
+        F.size(vector).alias("n_features"),
+        F.round(norm(F.slice(vector, F.lit(1), n_text)), 4).alias("text_length"),
+        *(F.round(F.get(vector, n_text + i), 6).alias(f"z_{f}") for i, f in enumerate(S.numeric_features)),
+    )
+
+
 @query("kmeans_fit", "SELECT row_id, true AS at_nearest, true AS in_range FROM e_clean")
 def kmeans_fit(spark, sf_dir):
     """Each row with whether it stands in the segment of its nearest centre."""
