@@ -172,12 +172,59 @@ def _in_words(short: Column, other: Column) -> Column:
     return _let(_let(_characters(short), cut), known)
 
 
+_STEPS = [1 << power for power in range(10, -1, -1)]
+
+
+def _shared(most: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """Characters two texts share at an end, up to `most` and twice the longest step: halving steps, each taken where
+    `same` finds its characters equal."""
+    steps = F.array(*map(F.lit, _STEPS))
+    return F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when((n + step <= most) & same(n, step), n + step).otherwise(n)
+    )
+
+
+def _cores(a: Column, b: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over (shared, short, other): what two texts share at their ends, and what lies between."""
+
+    def at_front(x: Column) -> Column:
+        most = F.least(F.length(x["a"]), F.length(x["b"]))
+        n = _shared(most, lambda n, step: F.substring(x["a"], n + 1, step) == F.substring(x["b"], n + 1, step))
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), n.alias("n"), most.alias("most"))
+
+    def at_end(x: Column) -> Column:
+        def tail(text: Column, n: Column, step: Column) -> Column:
+            return F.substring(text, F.length(text) - n - step + 1, step)
+
+        n = _shared(x["most"] - x["n"], lambda n, step: tail(x["a"], n, step) == tail(x["b"], n, step))
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["n"].alias("n"), n.alias("m"))
+
+    def between(x: Column) -> Column:
+        left, right = (F.substring(x[side], x["n"] + 1, F.length(x[side]) - x["n"] - x["m"]) for side in ("a", "b"))
+        first = F.length(x["a"]) <= F.length(x["b"])
+        return F.struct(
+            (x["n"] + x["m"]).alias("shared"), F.when(first, left).otherwise(right).alias("short"),
+            F.when(first, right).otherwise(left).alias("other"),
+        )
+
+    given = F.struct(a.alias("a"), b.alias("b"))
+    return _let(_let(_let(_let(given, at_front), at_end), between), body)
+
+
 def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, in the JVM; null where either text is null."""
-    first = F.length(a) <= F.length(b)
-    short, other = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
-    size = F.length(short)
-    return F.when(size == 0, 0).when(size <= _WORD, _in_one_word(short, other)).when(size > _WORD, _in_words(short, other))
+    """Length of the longest common subsequence, in the JVM; null where either text is null.
+
+    What texts share at their ends is part of it; bit vectors are for the rest.
+    """
+
+    def found(x: Column) -> Column:
+        size = F.length(x["short"])
+        rest = F.when(size == 0, 0).when(size <= _WORD, _in_one_word(x["short"], x["other"])).when(
+            size > _WORD, _in_words(x["short"], x["other"])
+        )
+        return x["shared"] + rest
+
+    return F.when(a.isNotNull() & b.isNotNull(), _cores(a, b, found))
 
 
 def indels(a: Column, b: Column) -> Column:

@@ -58,10 +58,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """Raw listings. ``events`` may be a stream; the other tables are static."""
+    """Raw listings. ``events`` may be a stream; the other tables are static.
+
+    The given events are one split of one file, which no real export of this size
+    would be, so the view deals them first.
+    """
     prepare(spark)
+    if events is None:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        events = table(spark, sf_dir, "events").repartition(parts, "event_id")
     sources = {
-        "events": events if events is not None else table(spark, sf_dir, "events"),
+        "events": events,
         **{t: table(spark, sf_dir, t) for t in ("customer", "nation", "region")},
     }
     return spark.sql(LISTING_SQL, **sources)
