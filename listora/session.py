@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,7 +56,9 @@ def write_out(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
 
 
 def write_out_with(df: DataFrame, name: str, metric: Column) -> tuple[DataFrame, object]:
@@ -65,5 +68,24 @@ def write_out_with(df: DataFrame, name: str, metric: Column) -> tuple[DataFrame,
     return table, seen.get["metric"]
 
 
+def remove(*tables: DataFrame) -> None:
+    """Delete tables of ``write_out`` whose readers are written themselves."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let shuffle files go that no plan holds any more.
+
+    Spark deletes the shuffle files of a finished query once its plan is collected on the driver, which may be long after
+    several large steps have filled the disks; so the collection is asked for between them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_count() -> Column:
     return F.count(F.lit(1))
