@@ -11,7 +11,8 @@ member goes on. Classes that agree in a band meet in a bucket:
 So a bucket of copies costs one link per member, and no list of all pairs is made. A linked pair with similarity 0.85
 misses all 32 bands of 4 slots with odds of 6e-11, one with 0.80 with odds of 5e-8. Either falls below the bound on
 agreeing slots, 84 of 128 at 0.85 and 75 at 0.80, with odds of 1.4e-8 at most. Short
-hashes have 32 bits and a slack of two shingles; verification compares whole sets of 64-bit shingle hashes.
+hashes have 32 bits; how many shingles they merge in a set is known and allowed for, so they rule out no linked pair.
+Verification compares whole sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -31,13 +32,12 @@ from listora.llm.distinct_texts import fresh_names, text_key
 from listora.llm.hashing import whole_windows, windows, words
 from listora.llm.links import components
 from listora.llm.superminhash import signatures, sketches
-from listora.session import write_out
+from listora.session import release, remove, write_out
 
 SHINGLE = 5
 SLOTS = 128
 BAND = 4  # slots
 MISSED = 1.4e-8  # odds that a linked pair has too few agreeing slots
-SLACK = 2  # shingles that short hashes may merge
 BLOCK = 1024  # classes of a bucket that meet in one task
 
 
@@ -158,6 +158,7 @@ def _alike(percent: int):
         sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint16).reshape(-1, SLOTS)
         short = [np.frombuffer(x, dtype=np.uint32) for x in block["short"]]
         size = block["n"].to_numpy()
+        lost = size - np.array([len(x) for x in short], dtype=np.int64)
         group, node, band = block["group"].to_numpy(), block["class"].to_numpy(), int(block["band"].iloc[0])
         right, out = np.flatnonzero(col), []
         for i in np.flatnonzero(row):
@@ -176,7 +177,8 @@ def _alike(percent: int):
             edges = np.cumsum([0] + [len(x) for x in parts[:-1]])
             flat = np.concatenate(parts)
             at = np.minimum(np.searchsorted(short[i], flat), len(short[i]) - 1)
-            both = np.add.reduceat((short[i][at] == flat).astype(np.int64), edges) + SLACK
+            # shared shingles that short hashes merge are merged in either set, so no more are lost than either has lost
+            both = np.add.reduceat((short[i][at] == flat).astype(np.int64), edges) + np.minimum(lost[others], lost[i])
             for j in others[(100 + percent) * both >= percent * (size[others] + size[i])]:
                 out.append((min(node[i], node[j]), max(node[i], node[j])))
         return pd.DataFrame(out, columns=["a", "b"])
@@ -263,10 +265,15 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(_whole_sets, "class binary, elements binary").dropDuplicates(["class"]),
         "sets",
     )
+    release(docs.sparkSession)
     first = members.groupBy(F.col("class").alias("b")).agg(F.min("least").alias("a")).where("a != b")
     links = write_out(_verify(first, sets, percent), "links")
     groups = components(links)
-    rest = _verify(_rest_pairs(members, first, classes, sets, groups, percent), sets, percent)
+    release(docs.sparkSession)
+    open_pairs = write_out(_rest_pairs(members, first, classes, sets, groups, percent), "open-pairs")
+    remove(members)
+    rest = write_out(_verify(open_pairs, sets, percent), "rest")
+    remove(open_pairs, sets)
     grouped = components(links.union(rest))
     labelled = classes.join(grouped, F.col("class") == F.col("node"), "left").select(
         "class", "doc_id", "copies", F.coalesce("component", "class").alias("component")

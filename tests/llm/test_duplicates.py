@@ -250,3 +250,17 @@ def test_pairs_from_80_percent(rows_of):
         wanted += [2 * pair] if alike else [2 * pair, 2 * pair + 1]
     left = near_dedup.one_of_each(rows_of(rows, "doc_id long, text string"), percent=80)
     assert sorted(row.doc_id for row in left.collect()) == wanted
+
+
+def test_short_hashes_lose_no_link_of_large_sets():
+    """A pair exactly at the threshold whose short hashes merge dozens of shingles."""
+    rng = np.random.default_rng(8)
+    elements = np.unique(rng.integers(0, 1 << 63, 510_000, dtype=np.int64).astype(np.uint64) << np.uint64(1))[:500_000]
+    rng.shuffle(elements)
+    common, extra = elements[:425_000], elements[425_000:]
+    sets = [np.sort(np.concatenate([common, extra[:37_500]])), np.sort(np.concatenate([common, extra[37_500:]]))]
+    batch = pa.record_batch({"class": pa.array([b"a", b"b"]), "sketch": pa.array([bytes(256)] * 2), "elements": pa.array([x.tobytes() for x in sets])})
+    rows = pa.Table.from_batches(near_dedup._shortened(iter([batch]))).to_pandas()
+    assert (rows["n"] - [len(x) // 4 for x in rows["short"]]).min() > 2
+    block = rows.assign(key=b"k", band=0, i=0, j=0, group=[b"a", b"b"], side=1)
+    assert near_dedup._alike(85)(block).values.tolist() == [[b"a", b"b"]]
