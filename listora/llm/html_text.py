@@ -4,6 +4,10 @@ A page is cut into blocks at block-level tags. The first pass looks at each bloc
 themselves menus, adverts or the like and blocks of links are bad, long blocks with enough stop words are good, and short
 or middling blocks stay open. In the second pass open blocks take the label of the nearest decided blocks around them,
 within their own article where the page marks one.
+
+Words of a class, id or role are only hints. They say nothing of an article or main element that is not inside another,
+and a container they point at is let off if it holds nearly all good text of the page, or most of it and the main heading:
+then it wraps the page, as a class like `with-left-sidebar` does.
 """
 
 from __future__ import annotations
@@ -56,6 +60,10 @@ BOILERPLATE_WORDS = frozenset(
     "teaser toolbar tooltip topbar widget widgets".split()
 )
 
+# Words of containers that are let off for nothing but a main heading.
+REMARK_WORDS = frozenset("captcha comment comments consent cookie cookies disqus gdpr login modal popup replies reply respond".split())
+NEARLY_ALL, MOST = 0.9, 0.5  # shares of the page's good text
+
 _PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+)>""")
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _BARE = re.compile(r"""(?:[^>=]++|=(?!\s*+["']))*+""")
@@ -74,23 +82,35 @@ class Block:
     bad: bool  # by its container
     in_form: bool
     main: int  # number of its article, 0 outside any
+    hinted: tuple[int, ...] = ()  # numbers of the containers around it that hints point at
+
+
+@dataclass
+class Hinted:
+    """A container that its class, id or role points at."""
+
+    remark: bool
+    heading: bool = False  # holds a main heading
 
 
 def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
+    """By the element itself, or since it is not shown."""
     if name in BOILERPLATE_TAGS or name == "header" and not in_main:
         return True
-    if not attributes or name in ("body", "html"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+    return bool(attributes) and name not in ("body", "html") and bool(_HIDDEN.search(attributes))
+
+
+def _hint(name: str, attributes: str, in_main: bool) -> Hinted | None:
+    if not attributes or name in ("body", "html") or name in MAIN_TAGS and not in_main:
+        return None
     for found in _HINTS.finditer(attributes):
         before = ""
         for word in _HINT_WORD.findall(next(filter(None, found.groups()), "")):
             word = word.lower()
             if word in BOILERPLATE_WORDS and before not in ("has", "with", "no", "without") and not (in_main and word == "header"):
-                return True
+                return Hinted(word in REMARK_WORDS)
             before = word
-    return False
+    return None
 
 
 def _attributes(source: str, at: int) -> tuple[str, int]:
@@ -116,16 +136,36 @@ def _attributes(source: str, at: int) -> tuple[str, int]:
         at = close + 1
 
 
+_NOTHING = ("", False, False, 0, ())
+
+
 class _Page:
     """Blocks of one page, in order."""
 
     def __init__(self, source: str):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # name, bad, in a form, article
+        self.open: list[tuple[str, bool, bool, int, tuple[int, ...]]] = []  # name, bad, in a form, article, hinted
+        self.hinted: list[Hinted] = []
         self.parts: list[str] = []
         self.linked = self.links = self.articles = self.breaks = 0
         self._read(source)
         self._end_block()
+        self._weigh_hints()
+
+    def _weigh_hints(self) -> None:
+        """Blocks in a hinted container are bad, unless it turns out to wrap the page."""
+        good = [len(block.text) if _alone(block, False) else 0 for block in self.blocks]
+        held = [0] * len(self.hinted)
+        for block, size in zip(self.blocks, good, strict=True):
+            for number in block.hinted:
+                held[number] += size
+        whole = sum(good)
+        bad = [
+            not (whole and (one.heading and size >= MOST * whole or not one.remark and size >= NEARLY_ALL * whole))
+            for one, size in zip(self.hinted, held, strict=True)
+        ]
+        for block in self.blocks:
+            block.bad = block.bad or any(bad[number] for number in block.hinted)
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
@@ -177,6 +217,9 @@ class _Page:
         if name in BLOCKS or name in CONTAINERS:
             if name in BLOCKS:
                 self._end_block()
+                if name == "h1" and not closing and self.open and not self.open[-1][1]:
+                    for number in self.open[-1][4]:
+                        self.hinted[number].heading = True
                 if name != "a":
                     self.links = 0
             if name in CONTAINERS:
@@ -186,12 +229,16 @@ class _Page:
     def _enter(self, name: str, attributes: str) -> None:
         if name in ("p", "li", "td", "tr") and any(x[0] == name for x in self.open[-3:]):
             self._close(name)  # these end where the next of their kind begins
-        _, bad, in_form, main = self.open[-1] if self.open else ("", False, False, 0)
+        _, bad, in_form, main, hinted = self.open[-1] if self.open else _NOTHING
+        hint = _hint(name, attributes, main > 0)
         if name in MAIN_TAGS and not main and not bad:
             self.articles += 1
             main = self.articles
         bad = bad or _is_boilerplate(name, attributes, main > 0)
-        self.open.append((name, bad, in_form or name == "form", main))
+        if hint and not bad:
+            hinted = (*hinted, len(self.hinted))
+            self.hinted.append(hint)
+        self.open.append((name, bad, in_form or name == "form", main, hinted))
 
     def _close(self, name: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -206,13 +253,13 @@ class _Page:
             self.breaks = 0
         self.parts.append(text)
         if self.links:
-            self.linked += len(text)
+            self.linked += len(" ".join(html.unescape(text).split()))
 
     def _end_block(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            _, bad, in_form, main = self.open[-1] if self.open else ("", False, False, 0)
-            self.blocks.append(Block(text, self.linked, bad, in_form, main))
+            _, bad, in_form, main, hinted = self.open[-1] if self.open else _NOTHING
+            self.blocks.append(Block(text, self.linked, bad, in_form, main, hinted))
         self.parts, self.linked, self.breaks = [], 0, 0
 
 

@@ -95,3 +95,37 @@ def test_long_attribute_values(quote):
 def test_far_quotes_take_linear_time():
     for source in ('<p a=">" ' * 40_000, '<p a=">" ' * 40_000 + "b='", "<p a='<" * 40_000, '<p a="' + "<p b='>" * 40_001, "<p " + "= " * 200_000):
         main_text(source)
+
+
+WRAPPERS = ["with-left-sidebar", "right-sidebar layout", "page-search", "header-top", "content-widget", "social-page"]
+ARTICLES = ["post", "post category-notices", "post tag-related", "post-12 category-social", "search-friendly", "ad-free"]
+PARAGRAPHS = f"<p>{LONG}</p><p>{LINE}</p><p>{LONG}</p>"
+CLEAN = "\n".join([" ".join(LONG.split()), LINE, " ".join(LONG.split())])
+AROUND = '<nav><ul><li><a href="/a">One</a></li></ul></nav>{}<div class="cookie-notice"><p>We use cookies here.</p></div><footer>&copy; us</footer>'
+
+
+@pytest.mark.parametrize("words", ARTICLES)
+def test_hints_say_nothing_of_an_article(words):
+    assert main_text(body(AROUND.format(f'<article class="{words}">{PARAGRAPHS}</article>'))) == CLEAN
+    assert main_text(body(AROUND.format(f'<main id="{words}">{PARAGRAPHS}</main>'))) == CLEAN
+
+
+@pytest.mark.parametrize("words", WRAPPERS)
+def test_a_wrapper_of_the_page_is_let_off(words):
+    assert main_text(body(f'<div class="{words}">{AROUND.format(f"<div>{PARAGRAPHS}</div>")}</div>')) == CLEAN
+    inner = f"<article><h1>Heading</h1>{PARAGRAPHS}<div class='ad'><p>{LONG}</p></div></article><div class='comments'><p>{LONG}</p></div>"
+    assert main_text(body(f'<div class="{words}">{AROUND.format(inner)}</div>')) == f"Heading\n{CLEAN}"
+
+
+def test_adverts_and_comments_still_go():
+    article = f"<article><p>{LONG}</p></article>"
+    for words in ("ad", "related", "newsletter-signup", "comments", "sidebar"):
+        assert main_text(body(f'{article}<div class="{words}"><p>{LONG}</p></div>')) == " ".join(LONG.split())
+    many = "".join(f'<article class="comment"><p>{LONG}</p></article>' for _ in range(30))
+    assert main_text(body(f'{article}<section id="comments">{many}</section>')) == " ".join(LONG.split())
+    assert main_text(body(f'<article><p>{LONG}</p><div class="replies">{many}</div></article>')) == " ".join(LONG.split())
+
+
+def test_links_are_measured_as_they_are_read():
+    spaced = f'<article><p>{LONG} <a href="/x">a      {" " * 400}&nbsp;&nbsp; link</a></p></article>'
+    assert main_text(body(spaced)).endswith("a link")
