@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listora.functions.numbers import settled
 from listora.functions.similarity import ratio
-from listora.operators import categories, clean, enrich, exchange, features, fuzzy, identity
+from listora.operators import categories, clean, enrich, exchange, features, fuzzy, identity, minibatch
 from listora.operators import normalize, profile, segments
 from listora.plans import runs
 from listora.plans.fixture import cleaned_listings, listings, replies_by_rule, table, typed_listings
@@ -607,6 +608,22 @@ def fit_metrics(spark, sf_dir):
     )
 
 
+@query("kmeans_mini_batch", "SELECT count(*) AS n_rows, count(*)::BIGINT AS weight, true AS near_full_fit FROM embeddings")
+def kmeans_mini_batch(spark, sf_dir):
+    """A mini-batch fit of the given embeddings, its cost held against that of a full fit."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    centres = minibatch.fit_mini_batch(rows, "vec_id", "vector", S.n_clusters, S.seed)
+    full = KMeans(k=S.n_clusters, seed=S.seed, maxIter=S.max_iterations).fit(rows.select(array_to_vector("vector").alias("features")))
+    fitted = segments.fitted_centers(rows, full)
+    whole = segments.assign_nearest(rows, "vector", fitted).agg(F.sum("distance2")).first()[0]
+    weight = centres.agg(F.sum("weight")).first()[0]
+    return segments.assign_nearest(rows, "vector", centres.drop("weight")).agg(
+        F.count("*").alias("n_rows"),
+        F.lit(weight).cast("long").alias("weight"),
+        (F.sum("distance2") <= 1.05 * whole).alias("near_full_fit"),
+    )
+
+
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return segments.assign_nearest(
