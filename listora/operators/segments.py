@@ -24,6 +24,7 @@ from listora.schema import ROW_ID
 from listora.session import write_out
 from listora.settings import Settings
 
+# Fields of the replies, agreed with whoever answers the requests.
 LABEL_REPLY = "segment_name string, segment_description string"
 BRIEF_REPLY = (
     "priority_tier string, key_gaps array<string>, recommended_approach string, "

@@ -21,6 +21,7 @@ EXPORT_HEADERS = (
 # The only header whose column name is not simply its slug.
 RENAMED_HEADERS = {"HAS": "has_flag_raw"}
 
+# Columns of the export that are not plain text, and those that are trimmed.
 BOOLEAN_COLUMNS = (
     "is_temporarily_closed", "is_permanently_closed", "param_collect_contacts",
     "param_ratings", "param_images",

@@ -35,7 +35,8 @@ def _line(label: str, text: Column) -> Column:
 
 def segment_report(stats: DataFrame, labels: DataFrame, briefs: DataFrame) -> DataFrame:
     """One row per line block of the report: (position, block), the header first,
-    then the segments in order of their id."""
+    then the segments in order of their id. Title, names of the lines and their order
+    are fixed values: reports are read by them."""
     header = stats.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.count("*").alias("k"))
     header = header.select(
         F.lit(-1).cast("bigint").alias("position"),

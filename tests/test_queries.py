@@ -1,4 +1,4 @@
-"""Every query with a check in SQL agrees with it; the others give rows."""
+"""Every query agrees with its check in SQL."""
 
 import pytest
 from oracle import both, connect
@@ -20,6 +20,5 @@ def test_agrees_with_sql(name, spark, sf_dir, duck):
     assert rows == wanted
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_gives_rows(name, spark, sf_dir):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+def test_every_query_has_a_check():
+    assert set(QUERIES) == set(ORACLES)
