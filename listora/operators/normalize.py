@@ -20,6 +20,12 @@ from listora.settings import Settings
 # Text read as false, and text that stands for a missing value.
 FALSE_WORDS = ("false", "0", "no", "n", "")
 MISSING_WORDS = ("nan", "None")
+# Formats an export's times may be in, day first before month first.
+TIMESTAMP_FORMATS = tuple(
+    f"{date}{time}"
+    for date in ("dd.MM.yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy", "MM-dd-yyyy", "yyyy/MM/dd")
+    for time in (" HH:mm:ss", " HH:mm", "")
+)
 _NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
@@ -56,6 +62,22 @@ def to_time(c: Column, dtype: T.DataType, formats: tuple[str, ...] = ()) -> Colu
     return F.coalesce(*tries)
 
 
+def inferred_format(df: DataFrame, column: str, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> str | None:
+    """The one format that reads the most values of a text column; None for ISO text.
+
+    All formats are tried in one aggregate over the column. Ties go to ISO text, then
+    to the earlier format; so a column whose days are all below 13 is read by the
+    first format that fits it.
+    """
+    c = F.col(column)
+    tried = df.agg(
+        F.count(F.try_to_timestamp(c)).alias("iso"),
+        *(F.count(F.try_to_timestamp(c, F.lit(f))).alias(f"f{i}") for i, f in enumerate(formats)),
+    ).first()
+    best = max(range(-1, len(formats)), key=lambda i: (tried["iso" if i < 0 else f"f{i}"], -i))
+    return None if best < 0 else formats[best]
+
+
 def to_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         c = F.when(~F.isnan(c), c)
@@ -72,7 +94,11 @@ def coerce_types(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
         elif field.name in NUMERIC_COLUMNS:
             typed[field.name] = to_number(c, field.dataType)
         elif field.name == TIMESTAMP_COLUMN:
-            typed[field.name] = to_time(c, field.dataType, settings.timestamp_formats)
+            if settings.infer_timestamp_format and isinstance(field.dataType, T.StringType):
+                found = inferred_format(df, field.name, settings.timestamp_formats or TIMESTAMP_FORMATS)
+                typed[field.name] = F.try_to_timestamp(c, F.lit(found)) if found else F.try_to_timestamp(c)
+            else:
+                typed[field.name] = to_time(c, field.dataType, settings.timestamp_formats)
         elif field.name in TRIMMED_COLUMNS:
             typed[field.name] = to_text(c, field.dataType)
     return df.withColumns(typed)

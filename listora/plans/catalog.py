@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeans
@@ -218,6 +219,22 @@ def coerce_timestamp(spark, sf_dir):
     )
 
 
+@query("infer_timestamp", """
+SELECT event_id AS row_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS day_first,
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS month_first FROM events""")
+def infer_timestamp(spark, sf_dir):
+    """The times of two exports that differ in their format, each told from its own values."""
+    settings = Settings(infer_timestamp_format=True)
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), "ts")
+
+    def read_back(written: str, name: str) -> DataFrame:
+        export = events.select("row_id", F.date_format("ts", written).alias("collected_at"))
+        typed = normalize.coerce_types(export, settings)
+        return typed.select("row_id", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss").alias(name))
+
+    return read_back("dd/MM/yyyy HH:mm:ss", "day_first").join(read_back("MM/dd/yyyy HH:mm:ss", "month_first"), "row_id")
+
+
 @query("trim_sentinel", """
 SELECT row_id, name, category, street_address, city, region, description, email, website FROM l_typed""")
 def trim_sentinel(spark, sf_dir):
@@ -750,6 +767,22 @@ def profile_counts(spark, sf_dir):
     return profile.profile_counts(typed_listings(spark, sf_dir))
 
 
+@query("profile_sketches", """
+SELECT metric, (SELECT count(*) FROM l_typed)::BIGINT AS n_rows, true AS within_bound
+FROM (VALUES ('unique_cities'), ('unique_categories'), ('unique_countries'), ('unique_place_ids')) AS m(metric)""")
+def profile_sketches(spark, sf_dir):
+    """Distinct counts merged from the sketches of four batches, held against the exact ones."""
+    rows = write_out(typed_listings(spark, sf_dir).select("row_id", *profile.DISTINCT_OF.values()), "profiled")
+    batches = [profile.distinct_sketches(rows.filter(F.col("row_id") % 4 == i)) for i in range(4)]
+    kept = write_out(functools.reduce(DataFrame.unionByName, batches), "sketches")
+    exact = profile.profile_counts(rows).select(
+        F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("exact")) for m in profile.DISTINCT_OF)))
+    )
+    told = profile.distinct_estimates(profile.merged_sketches(kept)).join(exact, "metric")
+    within = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.03 * F.col("exact")
+    return told.select("metric", "n_rows", within.alias("within_bound"))
+
+
 @query("profile_coverage", "SELECT " + ", ".join(
     f"{settle(f'100 * avg(({has(c)})::INT)', 1)} AS {c}_pct"
     for c in ("website", "facebook", "instagram", "phone", "email", "booking_link")) + " FROM l_typed")

@@ -36,6 +36,7 @@ class Settings:
     default_region: str = "DE"
     drop_permanently_closed: bool = False
     timestamp_formats: tuple[str, ...] = ()
+    infer_timestamp_format: bool = False  # the one format that reads most values; takes a pass over the column
     # entity resolution
     fuzzy_threshold: float = 92
     block_by: str = "zip_code"
