@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listora.functions.numbers import settled
 from listora.functions.text import present
+from listora.session import write_out
 
 # What the profile reports on.
 DISTINCT_OF = {
@@ -110,17 +111,46 @@ def profile_status(df: DataFrame) -> DataFrame:
     )
 
 
+def _bracketed(lines: DataFrame, brackets: dict[str, tuple[float, float]]) -> DataFrame:
+    """(field, value, copies) of the values in each field's bracket; all below it are one line without a value.
+
+    Values above their bracket never reach the shuffle, and those below it are
+    summed in each task before.
+    """
+    low, high = (
+        F.coalesce(*(F.when(F.col("field") == field, F.lit(ends[i])) for field, ends in brackets.items())) for i in (0, 1)
+    )
+    inside = F.when(F.col("value") >= low, F.col("value"))
+    return lines.filter(F.col("value") <= high).groupBy("field", inside.alias("value")).agg(F.count("*").alias("copies"))
+
+
+def _with_ranks(tallied: DataFrame) -> DataFrame:
+    """Adds `up_to`, the number of rows of the field up to and with a value.
+
+    Ranges of values are counted apart, and each begins where those before it
+    end, so no task orders all values of a field.
+    """
+    runs = tallied.repartitionByRange("field", F.col("value").asc_nulls_first()).withColumn("run", F.spark_partition_id())
+    runs = write_out(runs, "ranges")  # sampling the ranges again could cut them elsewhere
+    before = Window.partitionBy("field").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = runs.groupBy("field", "run").agg(F.sum("copies").alias("n"))
+    offsets = sizes.select("field", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("field", "run").orderBy(F.col("value").asc_nulls_first())
+    return runs.withColumn("_up_to", F.sum("copies").over(within)).join(offsets, ["field", "run"]).select(
+        "field", "value", (F.col("_up_to") + F.col("offset")).alias("up_to")
+    )
+
+
 def profile_center(df: DataFrame, fields=CENTER_OF) -> DataFrame:
     """Mean and exact median per field, one line each.
 
-    A percentile sketch brackets the median, then only values inside the
-    bracket are tallied and ranked: what is ordered in one place is a few
-    hundredths of a percent of the distinct values.
+    A percentile sketch brackets the median, one line a field; only values inside
+    the bracket are shuffled and ranked, a few hundredths of a percent of all.
     """
     lines = df.select(
         F.explode(
             F.array(
-                *(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields)
+                *(F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in fields)
             )
         ).alias("line")
     ).select("line.*").filter(F.col("value").isNotNull())
@@ -128,27 +158,20 @@ def profile_center(df: DataFrame, fields=CENTER_OF) -> DataFrame:
     bracket = F.percentile_approx("value", [0.5 - margin, 0.5 + margin], _SKETCH)
     whole = lines.groupBy("field").agg(
         F.count("*").alias("n"), F.avg("value").alias("mean"), bracket.alias("bracket")
-    )
-    tallied = lines.groupBy("field", "value").agg(F.count("*").alias("copies"))
-    tallied = tallied.join(F.broadcast(whole), "field")  # one row per field asked for
-    low, high = F.col("bracket")[0], F.col("bracket")[1]
-    # everything below the bracket becomes one line
-    inside = F.when(F.col("value") >= low, F.col("value"))
-    tallied = (
-        tallied.filter(F.col("value") <= high)
-        .groupBy("field", "n", "mean", inside.alias("value"))
-        .agg(F.sum("copies").alias("copies"))
-    )
-    up_to = Window.partitionBy("field").orderBy(F.col("value").asc_nulls_first())
-    ranked = tallied.withColumn("up_to", F.sum("copies").over(up_to))
+    ).collect()
+    spark = df.sparkSession
+    if not whole:
+        return spark.createDataFrame([], "field string, mean double, median double")
+    ranked = _with_ranks(_bracketed(lines, {row.field: tuple(row.bracket) for row in whole}))
+    known = spark.createDataFrame([(row.field, row.n, row.mean) for row in whole], "field string, n long, mean double")
     # the middle row, or the two middle rows
     lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("up_to") >= rank, F.col("value")))
 
-    return ranked.groupBy("field").agg(
-        F.first("mean").alias("mean"), ((at(lower) + at(upper)) / 2).alias("median")
+    return ranked.join(known, "field").groupBy("field", "mean").agg(
+        ((at(lower) + at(upper)) / 2).alias("median")
     )
 
 
