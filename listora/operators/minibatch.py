@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listora.operators.nearest import nearest_centres
+from listora.operators.nearest import assign_nearest
 from listora.session import row_count, scratch_path, write_out
 
 BATCHES = 10
@@ -25,9 +25,9 @@ def updated_centres(centres: DataFrame, rows: DataFrame, vector: str) -> DataFra
     Works on any batch, so it also serves a stream's ``foreachBatch``: keep the result as a table and hand it in again.
     Sums are taken by centre and dimension, in each task before the shuffle.
     """
-    batch = write_out(rows.select(F.col(vector).alias("_vector")).withColumn("_row", F.monotonically_increasing_id()), "batch")
-    found = nearest_centres(batch, "_vector", centres.select("cluster_id", "centroid"))
-    cells = batch.join(found, "_row").select("cluster_id", F.posexplode("_vector").alias("dim", "value"))
+    found = assign_nearest(rows.select(F.col(vector).alias("_vector")), "_vector", centres.select("cluster_id", "centroid"))
+    near = found.filter(F.col("cluster_id").isNotNull())
+    cells = near.select("cluster_id", F.posexplode("_vector").alias("dim", "value"))
     sums = cells.groupBy("cluster_id", "dim").agg(F.sum("value").alias("sum"), row_count().alias("n"))
     taken = sums.groupBy("cluster_id").agg(
         F.sort_array(F.collect_list(F.struct("dim", "sum"))).getField("sum").alias("sums"), F.max("n").alias("n")

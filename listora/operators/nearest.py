@@ -1,12 +1,13 @@
 """Nearest centre of each row, by matrix products of blocks.
 
-Rows are packed into blocks, centres into blocks of one norm range, and each
-block of rows meets each block of centres once: by a broadcast where all centres
-together are small, else by a shuffle over block numbers. Within a pair, centres
+Rows are packed into blocks. Where all centres together are small, they are one
+broadcast block that each block of rows meets once, all columns of its rows in hand,
+so no row is shuffled, sorted or joined back. Else centres are cut into blocks of one
+norm range, which each block of rows meets by a shuffle over block numbers, and a
+row's winners of the blocks are reduced to the nearest. Within a pair, centres
 are taken in slices, nearest norms first, and a row skips a slice whose norms lie
 further from its own than its nearest centre so far: by the triangle inequality
-none of it can be nearer. A row's winners of the blocks are reduced to the
-nearest, the lowest id winning a tie.
+none of it can be nearer. The lowest id wins a tie.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listora.session import row_count, write_out, write_out_with
 
@@ -77,55 +80,104 @@ def _best_of(rows: np.ndarray, ids: np.ndarray, centres: np.ndarray) -> tuple[np
 
 def _winners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for pair in batch.to_pylist():
-            row_ids = np.frombuffer(pair["ids"], np.int64)
-            rows = np.frombuffer(pair["vectors"], np.float64).reshape(len(row_ids), -1)
-            centre_ids = np.array(pair["centre_ids"], np.int64)
-            centres = np.array(pair["centres"], np.float64).reshape(len(centre_ids), -1)
-            found, best = _best_of(rows, centre_ids, centres)
+        for i in range(len(batch)):
+            pair = batch.slice(i, 1)
+            row_ids = np.frombuffer(pair.column("ids")[0].as_buffer(), np.int64)
+            rows = np.frombuffer(pair.column("vectors")[0].as_buffer(), np.float64).reshape(len(row_ids), -1)
+            found, best = _best_of(rows, *_centres(pair))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row_ids), pa.array(found), pa.array(best)], names=["_row", "cluster_id", "distance2"]
             )
 
 
-def nearest_centres(rows: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
-    """(_row, cluster_id, distance2) of the written table `rows`, whose `_row` is unique.
+def _centres(pair: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    ids = pair.column("centre_ids").flatten().to_numpy()
+    flat = pair.column("centres").flatten().to_numpy()
+    return ids, flat.reshape(len(ids), len(flat) // max(len(ids), 1))
 
-    Rows whose vector is null, or of another size than the centres, are left out;
-    so are centres that hold null. `centers` is (cluster_id, centroid).
-    """
-    spark = rows.sparkSession
-    size = F.size("centroid")
+
+def _packed(rows_in_block: int):
+    """Blocks of whole rows, all their columns in one binary value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), rows_in_block):
+                part, sink = batch.slice(low, rows_in_block), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["rows"])
+
+    return run
+
+
+def _usable(vectors: pa.Array, width: int) -> np.ndarray:
+    """Which vectors have the centres' size and no null."""
+    usable = pc.fill_null(pc.equal(pc.list_value_length(vectors), width), False).to_numpy(zero_copy_only=False)
+    values = vectors.flatten()
+    if values.null_count:
+        usable = usable.copy()
+        usable[pc.list_parent_indices(vectors).filter(pc.is_null(values)).to_numpy()] = False
+    return usable
+
+
+def _rows_with_nearest(vector: str, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                pair = batch.slice(i, 1)
+                with pa.ipc.open_stream(pair.column("rows")[0].as_buffer()) as stream:
+                    rows = stream.read_next_batch()
+                ids, centres = _centres(pair)
+                usable = _usable(rows.column(vector), width) if len(ids) else np.zeros(len(rows), bool)
+                found, best = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+                if usable.any():
+                    found[usable], best[usable] = _best_of(_matrix(rows.column(vector).filter(pa.array(usable))), ids, centres)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(found, mask=~usable), pa.array(best, mask=~usable)],
+                    names=[*rows.schema.names, "cluster_id", "distance2"],
+                )
+
+    return run
+
+
+def _points(centers: DataFrame) -> tuple[DataFrame, int, int]:
+    """The usable centres, written out, with their number and size."""
     points = centers.select(
         F.col("cluster_id").cast("long").alias("cluster_id"), F.col("centroid").cast("array<double>").alias("centroid")
     ).filter(F.col("centroid").isNotNull() & ~F.exists("centroid", lambda x: x.isNull()))
     points, told = write_out_with(
         points.withColumn("_norm", F.aggregate("centroid", F.lit(0.0), lambda total, x: total + x * x)),
-        "centres", F.struct(row_count().alias("n"), F.max(size).alias("width")),
+        "centres", F.struct(row_count().alias("n"), F.max(F.size("centroid")).alias("width")),
     )
-    count, width = told["n"], max(told["width"] or 1, 1)
+    return points, told["n"], max(told["width"] or 1, 1)
+
+
+def _in_norm_order() -> list:
+    every = F.sort_array(F.collect_list(F.struct("_norm", "cluster_id", "centroid")))
+    return [every.getField("cluster_id").alias("centre_ids"), F.flatten(every.getField("centroid")).alias("centres")]
+
+
+def _nearest_of_many(rows: DataFrame, vector: str, points: DataFrame, count: int, width: int) -> DataFrame:
+    """(_row, cluster_id, distance2) of the written table `rows`, whose `_row` is unique, by a shuffle.
+
+    Rows whose vector is null, holds null or is of another size than the centres are left out.
+    """
     in_block = max(1, BLOCK_BYTES // (8 * width))
     n_blocks = max(1, -(-count // in_block))
     # blocks of one norm range; their borders come from a sample and need not be even
     dealt = points.repartitionByRange(n_blocks, "_norm", "cluster_id") if n_blocks > 1 else points.coalesce(1)
-    blocks = (
-        dealt.withColumn("part", F.spark_partition_id())
-        .groupBy("part")
-        .agg(F.sort_array(F.collect_list(F.struct("_norm", "cluster_id", "centroid"))).alias("all"))
-        .select("part", F.col("all.cluster_id").alias("centre_ids"), F.flatten("all.centroid").alias("centres"))
+    blocks = write_out(
+        dealt.withColumn("part", F.spark_partition_id()).groupBy("part").agg(*_in_norm_order()), "centre-blocks"
     )
-    blocks = write_out(blocks, "centre-blocks")
     given = rows.select("_row", F.col(vector).cast("array<double>").alias("_vector")).filter(
         (F.size("_vector") == width) & ~F.exists("_vector", lambda x: x.isNull())
     )
     packed = given.mapInArrow(_row_blocks(in_block), "ids binary, vectors binary, first long")
     packed = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    if 8 * width * count <= BROADCAST_BYTES:
-        pairs = packed.join(F.broadcast(blocks), "part")
-    else:  # copies of the centres for as many tasks as share a block
-        copies = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-        pairs = packed.withColumn("salt", F.pmod(F.xxhash64("first"), F.lit(copies)).cast("int")).join(salted, ["part", "salt"])
+    # copies of the centres for as many tasks as share a block
+    copies = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    pairs = packed.withColumn("salt", F.pmod(F.xxhash64("first"), F.lit(copies)).cast("int")).join(salted, ["part", "salt"])
     won = pairs.select("ids", "vectors", "centre_ids", "centres").mapInArrow(
         _winners, "_row long, cluster_id long, distance2 double"
     )
@@ -138,9 +190,17 @@ def nearest_centres(rows: DataFrame, vector: str, centers: DataFrame) -> DataFra
 def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
     """Add ``cluster_id`` and ``distance2``, the lowest id winning a tie.
 
-    Any number of centres; nothing passes through the driver. Both are null for a
-    row without a vector of the centres' size.
+    `centers` is (cluster_id, centroid), any number of them; those that hold null are
+    left out. Both are null for a row without a vector of the centres' size. Nothing
+    passes through the driver.
     """
+    points, count, width = _points(centers)
+    carried = not any(isinstance(f.dataType, T.UserDefinedType) for f in df.schema.fields)  # as Arrow has them
+    if carried and 8 * width * count <= BROADCAST_BYTES:
+        block = points.agg(*_in_norm_order())
+        schema = T.StructType([*df.schema.fields, T.StructField("cluster_id", T.LongType()), T.StructField("distance2", T.DoubleType())])
+        packed = df.mapInArrow(_packed(max(1, BLOCK_BYTES // (8 * width))), "rows binary")
+        return packed.crossJoin(F.broadcast(block)).mapInArrow(_rows_with_nearest(vector, width), schema)
     rows = write_out(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = write_out(nearest_centres(rows, vector, centers), "nearest")
+    found = write_out(_nearest_of_many(rows, vector, points, count, width), "nearest")
     return rows.join(found, "_row", "left").drop("_row")

@@ -588,21 +588,27 @@ def feature_matrix_vectors(spark, sf_dir):
     )
 
 
+def own_vectors(clustered: DataFrame) -> DataFrame:
+    """Each row's vector beside its own segment: taken of the clustered rows, so that no vector is joined to its row."""
+    rows = write_out(clustered.withColumnRenamed("cluster_id", "own"), "clustered")
+    return features.feature_matrix(rows).select("row_id", "own", vector_to_array("features").alias("vector"))
+
+
 @query("kmeans_fit", "SELECT row_id, true AS at_nearest, true AS in_range FROM e_clean")
 def kmeans_fit(spark, sf_dir):
     """Each row with whether it stands in the segment of its nearest centre."""
     rows = cluster_input(spark, sf_dir)
     clustered, model = segments.fit_segments(rows)
     centers = segments.fitted_centers(rows, model)
-    vectors = features.feature_matrix(rows).select("row_id", vector_to_array("features").alias("vector"))
-    best = segments.assign_nearest(vectors, "vector", centers).select("row_id", "vector", "distance2")
-    own = clustered.select("row_id", "cluster_id").join(centers, "cluster_id", "left").join(best, "row_id")
+    vectors = own_vectors(clustered)
+    best = segments.assign_nearest(vectors, "vector", centers).withColumnRenamed("cluster_id", "nearest")
+    own = best.join(F.broadcast(centers), F.col("own") == F.col("cluster_id"), "left")
     gaps = F.zip_with("vector", "centroid", lambda x, c: (x - c) * (x - c))
     distance = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
     return own.select(
         "row_id",
         (F.abs(distance - F.col("distance2")) <= 1e-6 * (1 + F.col("distance2"))).alias("at_nearest"),
-        F.col("cluster_id").between(0, S.n_clusters - 1).alias("in_range"),
+        F.col("own").between(0, S.n_clusters - 1).alias("in_range"),
     )
 
 
@@ -613,12 +619,12 @@ def fit_metrics(spark, sf_dir):
     rows = cluster_input(spark, sf_dir)
     clustered, model = segments.fit_segments(rows)
     told = segments.fit_metrics(rows, model)
-    vectors = features.feature_matrix(rows).select("row_id", vector_to_array("features").alias("vector"))
-    own = clustered.select("row_id", "cluster_id").join(segments.fitted_centers(rows, model), "cluster_id")
+    centers = segments.fitted_centers(rows, model)
+    own = own_vectors(clustered).join(F.broadcast(centers), F.col("own") == F.col("cluster_id"))
     gaps = F.zip_with("vector", "centroid", lambda x, c: (x - c) * (x - c))
     cost = F.sum(F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x))
     limit_is_told = told["converged"] == (model.summary.numIter < S.max_iterations)
-    return own.join(vectors, "row_id").agg(
+    return own.agg(
         F.count("*").alias("n_rows"),
         (F.abs(cost - told["inertia"]) <= 1e-6 * cost).alias("cost_is_sum_of_distances"),
         F.lit(limit_is_told).alias("limit_is_told"),

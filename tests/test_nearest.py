@@ -62,3 +62,27 @@ def test_odd_rows(spark):
     assert got[0] == (0, 5.0) and got[1] == got[2] == got[4] == (None, None)
     assert assign_nearest(rows.where("false"), "v", table).count() == 0
     assert {r.cluster_id for r in assign_nearest(rows, "v", table.where("false")).collect()} == {None}
+
+
+def test_rows_keep_their_columns_and_are_not_shuffled(spark):
+    """Vectors stay where they are: with few centres no row is dealt, sorted or joined back."""
+    rows = spark.sql(
+        """SELECT id, timestamp '2026-03-01 04:05:06' AS at, named_struct('a', array(id, NULL)) AS nested,
+        CASE WHEN id % 3 > 0 THEN array(CAST(id AS FLOAT), 1.0F) END AS v, CAST(NULL AS STRING) AS nothing FROM range(0, 50, 1, 4)"""
+    )
+    table = spark.createDataFrame([(5, [0.0, 1.0]), (9, [40.0, 1.0])], "cluster_id long, centroid array<double>")
+    found = assign_nearest(rows, "v", table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert found.drop("cluster_id", "distance2").exceptAll(rows).count() == 0
+    want = {i: ((5, float(i * i)) if i <= 20 else (9, float((40 - i) ** 2))) if i % 3 else (None, None) for i in range(50)}
+    assert {r.id: (r.cluster_id, r.distance2) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["kmeans_fit", "fit_metrics"])
+def test_no_vector_is_joined_to_its_row(spark, sf_dir, name):
+    from listora.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_id" in plan
+    assert not any("Join" in line and "row_id" in line for line in plan.splitlines())
