@@ -45,6 +45,17 @@ def latest_per_id(df: DataFrame, id_column: str, first: list[Column] = ()) -> Da
     )
 
 
+def exact_survivors(df: DataFrame) -> DataFrame:
+    """Row ids, which are unique, of the rows that ``dedup_exact`` keeps. Only ids
+    and times are sorted and shuffled, whatever else the rows hold."""
+    return dedup_exact(df.select(ROW_ID, *(c for c in (*ID_COLUMNS, TIMESTAMP_COLUMN) if c in df.columns))).select(ROW_ID)
+
+
+def scans_repeat(df: DataFrame) -> bool:
+    """Whether the rows are the same in a second scan: ids that are numbered in the plan itself need not be."""
+    return df._jdf.queryExecution().analyzed().deterministic()
+
+
 def dedup_exact(df: DataFrame) -> DataFrame:
     """One row per place id, then one per cid.
 

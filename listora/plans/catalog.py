@@ -327,7 +327,7 @@ JOIN f_keys r ON r.block = e.block AND r.ord = e.dst
 WHERE r.row_id NOT IN (SELECT row_id FROM f_kept_rows)
 QUALIFY row_number() OVER (PARTITION BY e.block, e.dst ORDER BY e.src) = 1""")
 def fuzzy_pairs(spark, sf_dir):
-    exact = write_out(identity.dedup_exact(cleaned_listings(spark, sf_dir)), "exact")
+    exact = write_out(runs.cleaned_survivors(typed_listings(spark, sf_dir)), "exact")
     found = fuzzy.fuzzy_matches(exact)
     return found.withColumn("score", F.round("score", 6))
 

@@ -12,7 +12,8 @@ from listora.operators.fuzzy import (
     resolve_entities,
     similar_pairs,
 )
-from listora.operators.identity import dedup_exact, latest_per_id
+from listora.operators.identity import dedup_exact, latest_per_id, scans_repeat
+from listora.plans import runs
 
 IDS = "row_id long, place_id string, cid string, collected_at timestamp, name string"
 FUZZY = "row_id long, place_id string, cid string, name string, street_address string, zip_code string"
@@ -98,6 +99,20 @@ def test_hot_id_is_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_cleaning_is_worked_out_for_the_rows_that_stay(spark):
+    """The join with the rows that stay comes first; rows numbered in the plan are not scanned twice."""
+    rows = spark.range(0, 1000, 1, 4).selectExpr(
+        "id AS row_id", "CAST(id % 3 AS STRING) AS place_id", "CAST(NULL AS STRING) AS cid", "timestamp_seconds(id) AS collected_at",
+        "IF(id = 999, 'x', 'name') AS name", "'030/1234567' AS phone",
+    )
+    found = runs.cleaned_survivors(rows)
+    assert sorted((r.row_id, r.phone_normalized) for r in found.collect()) == [(n, "+49301234567") for n in (996, 997, 998)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "phone_normalized" in plan[: plan.index("LeftSemi")] and "Window" not in plan
+    numbered = rows.drop("row_id").withColumn("row_id", F.monotonically_increasing_id())
+    assert not scans_repeat(numbered) and runs.cleaned_survivors(numbered).count() == 3
+
+
 def test_near_names_collapse_in_a_block(spark):
     rows = [
         (1, None, None, "Hope Rehab Center", "1 Main St", "20095"),
