@@ -1,10 +1,11 @@
 """Nearest centre of each row, by matrix products of blocks.
 
-Rows are packed into blocks. Where all centres together are small, they are one
-broadcast block that each block of rows meets once, all columns of its rows in hand,
-so no row is shuffled, sorted or joined back. Else centres are cut into blocks of one
-norm range, which each block of rows meets by a shuffle over block numbers, and a
-row's winners of the blocks are reduced to the nearest. Within a pair, centres
+Where all centres together are small, they are one block that goes to every task with
+the function, and each block of rows meets it once, all columns of its rows in hand:
+no row is shuffled, sorted or joined back, and a task has one Python worker. Else rows
+are packed into blocks and centres cut into blocks of one norm range, which each block
+of rows meets by a shuffle over block numbers, and a row's winners of the blocks are
+reduced to the nearest. Within a pair, centres
 are taken in slices, nearest norms first, and a row skips a slice whose norms lie
 further from its own than its nearest centre so far: by the triangle inequality
 none of it can be nearer. The lowest id wins a tie.
@@ -96,20 +97,6 @@ def _centres(pair: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return ids, flat.reshape(len(ids), len(flat) // max(len(ids), 1))
 
 
-def _packed(rows_in_block: int):
-    """Blocks of whole rows, all their columns in one binary value."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, len(batch), rows_in_block):
-                part, sink = batch.slice(low, rows_in_block), pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as out:
-                    out.write_batch(part)
-                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["rows"])
-
-    return run
-
-
 def _usable(vectors: pa.Array, width: int) -> np.ndarray:
     """Which vectors have the centres' size and no null."""
     usable = pc.fill_null(pc.equal(pc.list_value_length(vectors), width), False).to_numpy(zero_copy_only=False)
@@ -120,15 +107,12 @@ def _usable(vectors: pa.Array, width: int) -> np.ndarray:
     return usable
 
 
-def _rows_with_nearest(vector: str, width: int):
+def _rows_with_nearest(vector: str, rows_in_block: int, ids: np.ndarray, centres: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                pair = batch.slice(i, 1)
-                with pa.ipc.open_stream(pair.column("rows")[0].as_buffer()) as stream:
-                    rows = stream.read_next_batch()
-                ids, centres = _centres(pair)
-                usable = _usable(rows.column(vector), width) if len(ids) else np.zeros(len(rows), bool)
+            for low in range(0, len(batch), rows_in_block):
+                rows = batch.slice(low, rows_in_block)
+                usable = _usable(rows.column(vector), centres.shape[1]) if len(ids) else np.zeros(len(rows), bool)
                 found, best = np.zeros(len(rows), np.int64), np.zeros(len(rows))
                 if usable.any():
                     found[usable], best[usable] = _best_of(_matrix(rows.column(vector).filter(pa.array(usable))), ids, centres)
@@ -157,6 +141,15 @@ def _in_norm_order() -> list:
     return [every.getField("cluster_id").alias("centre_ids"), F.flatten(every.getField("centroid")).alias("centres")]
 
 
+def _one_block(points: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and centres in the order of `_in_norm_order`, of at most BROADCAST_BYTES."""
+    table = points.toArrow().combine_chunks()
+    ids, norms = table.column("cluster_id").to_numpy(), table.column("_norm").to_numpy()
+    order = np.lexsort((ids, norms))
+    centres = np.array(table.column("centroid").to_pylist(), np.float64).reshape(len(ids), -1) if len(ids) else np.empty((0, 1))
+    return ids[order], centres[order]
+
+
 def _nearest_of_many(rows: DataFrame, vector: str, points: DataFrame, count: int, width: int) -> DataFrame:
     """(_row, cluster_id, distance2) of the written table `rows`, whose `_row` is unique, by a shuffle.
 
@@ -191,16 +184,15 @@ def assign_nearest(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
     """Add ``cluster_id`` and ``distance2``, the lowest id winning a tie.
 
     `centers` is (cluster_id, centroid), any number of them; those that hold null are
-    left out. Both are null for a row without a vector of the centres' size. Nothing
-    passes through the driver.
+    left out. Both are null for a row without a vector of the centres' size. No row
+    passes through the driver, and no more than BROADCAST_BYTES of centres.
     """
     points, count, width = _points(centers)
     carried = not any(isinstance(f.dataType, T.UserDefinedType) for f in df.schema.fields)  # as Arrow has them
     if carried and 8 * width * count <= BROADCAST_BYTES:
-        block = points.agg(*_in_norm_order())
+        ids, centres = _one_block(points)
         schema = T.StructType([*df.schema.fields, T.StructField("cluster_id", T.LongType()), T.StructField("distance2", T.DoubleType())])
-        packed = df.mapInArrow(_packed(max(1, BLOCK_BYTES // (8 * width))), "rows binary")
-        return packed.crossJoin(F.broadcast(block)).mapInArrow(_rows_with_nearest(vector, width), schema)
+        return df.mapInArrow(_rows_with_nearest(vector, max(1, BLOCK_BYTES // (8 * width)), ids, centres), schema)
     rows = write_out(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     found = write_out(_nearest_of_many(rows, vector, points, count, width), "nearest")
     return rows.join(found, "_row", "left").drop("_row")

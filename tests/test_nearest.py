@@ -79,6 +79,20 @@ def test_rows_keep_their_columns_and_are_not_shuffled(spark):
     assert {r.id: (r.cluster_id, r.distance2) for r in found.collect()} == want
 
 
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    """No worker feeds another: two in a row hung over 36 million rows. Odd vectors may lie in any block."""
+    monkeypatch.setattr(nearest, "BLOCK_BYTES", 64)
+    rows = spark.createDataFrame(
+        [(i, [None, 1.0] if i % 5 == 0 else None if i % 5 == 1 else [1.0] if i % 5 == 2 else [float(i), 1.0]) for i in range(60)],
+        "id long, v array<double>",
+    ).coalesce(1)
+    table = spark.createDataFrame([(5, [0.0, 1.0]), (9, [40.0, 1.0])], "cluster_id long, centroid array<double>")
+    found = assign_nearest(rows, "v", table)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = {i: ((5, float(i * i)) if i <= 20 else (9, float((40 - i) ** 2))) if i % 5 > 2 else (None, None) for i in range(60)}
+    assert {r.id: (r.cluster_id, r.distance2) for r in found.collect()} == want
+
+
 @pytest.mark.parametrize("name", ["kmeans_fit", "fit_metrics"])
 def test_no_vector_is_joined_to_its_row(spark, sf_dir, name):
     from listora.plans.catalog import QUERIES
